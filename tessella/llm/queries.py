@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import encode, leaks, rank, split, visual
+from tessella.llm import encode, encoding, leaks, markup, rank, split, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": split.p1_found,
     "p1_pieces": split.p1_pieces,
     "p5_found": rank.p5_found,
     "p5_ranked": rank.p5_ranked,
+    "p4_found": encoding.p4_found,
+    "p4_restored": encoding.p4_restored,
+    "p6_found": markup.p6_found,
+    "p6_cleaned": markup.p6_cleaned,
     "p7_ids": encode.p7_ids,
     "p8_found": leaks.p8_found,
     "p9_found": visual.p9_found,
