@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import encode, encoding, leaks, markup, rank, split, visual
+from tessella.llm import encode, encoding, leaks, markup, rank, residue, split, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": split.p1_found,
     "p1_pieces": split.p1_pieces,
     "p5_found": rank.p5_found,
     "p5_ranked": rank.p5_ranked,
+    "p2_found": residue.p2_found,
+    "p2_kept": residue.p2_kept,
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
     "p6_found": markup.p6_found,
