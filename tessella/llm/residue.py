@@ -26,7 +26,7 @@ from tessella.sources.tables import spread, table
 
 ORDER = 4
 #: Buckets for n-grams of each order; what is collected and broadcast is at most ORDER times as many numbers.
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 WINDOW, COVERAGE = 9, 0.6
 #: Weight of the labelled prose against a corpus of a million characters.
 LABELLED = 20
@@ -37,21 +37,21 @@ _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 def folded(text: str) -> np.ndarray:
     """Codes of the text in lower case with all digits alike, between line breaks."""
-    c = codes("\n\n\n" + text + "\n").copy()
+    c = codes("\n" * (ORDER - 1) + text + "\n").copy()
     c[(c >= 65) & (c <= 90)] += 32
     c[(c >= 48) & (c <= 57)] = 48
     return c
 
 
 def buckets(c: np.ndarray, order: int) -> np.ndarray:
-    """Of the n-gram that ends at each character from the fourth on."""
+    """Of the n-gram that ends at each character from the ORDER-th on."""
     n = len(c) - (ORDER - 1)
     h = np.full(n, order, np.uint64)
     for k in range(order):
         at = ORDER - 1 - k
         h = (h ^ (c[at : at + n].astype(np.uint64) + np.uint64(k + 1)) * _MIX[k]) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(27)
-    return (h >> np.uint64(46)).astype(np.int64)
+    return (h >> np.uint64(44)).astype(np.int64)
 
 
 class NGrams:
@@ -80,7 +80,7 @@ class NGrams:
 
 
 def folded_context(c: np.ndarray) -> list[np.ndarray]:
-    """Buckets of the 1..ORDER-1 characters before each character from the fourth on."""
+    """Buckets of the 1..ORDER-1 characters before each character from the ORDER-th on."""
     back = np.concatenate([[10], c[:-1]]).astype(np.uint32)
     return [buckets(back, k) for k in range(1, ORDER)]
 
