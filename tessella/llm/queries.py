@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import encode, encoding, leaks, markup, rank, residue, split, visual
+from tessella.llm import encode, encoding, leaks, markup, rank, residue, scan, split, visual
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": split.p1_found,
@@ -15,6 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_ranked": rank.p5_ranked,
     "p2_found": residue.p2_found,
     "p2_kept": residue.p2_kept,
+    "p3_found": scan.p3_found,
+    "p3_repaired": scan.p3_repaired,
     "p4_found": encoding.p4_found,
     "p4_restored": encoding.p4_restored,
     "p6_found": markup.p6_found,
