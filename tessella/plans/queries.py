@@ -1,10 +1,536 @@
-"""Queries by name over a folder of tables, and SQL that gives the same rows."""
+"""Queries by name over a folder of tables, and SQL that gives the same rows.
+
+Each query runs over its whole tables. A LIMIT stands only where a top-k or a cap is the operator itself.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessella.functions import records as R
+from tessella.functions import text as X
+from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, views
+from tessella.plans.hybrid import Request, retrieve_chunks, search_documents, with_fallback
+from tessella.sources import files, ingest
+from tessella.sources.tables import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+QUERY = "telephone follow-up for chronic heart failure"
+TERMS = ["telephone", "follow-up", "chronic", "heart", "failure"]
+DEPARTMENTS = (
+    ("respiratory", "asthma", 4, 1), ("respiratory", "pneumonia", 4, 1), ("respiratory", "哮喘", 4, 1), ("cardiology", "heart failure", 4, 1), ("cardiology", "hypertension", 4, 1),
+    ("cardiology", "高血压", 4, 1), ("nephrology", "kidney disease", 4, 1), ("nephrology", "renal", 2, 1), ("endocrinology", "diabetes", 4, 1), ("endocrinology", "痛风", 4, 1),
+)
+HINTS = {"pdf": "scanned files", "markdown_clean": "cleaned files"}
+BOOSTS = {"recommendation": 1.3, "evidence": 1.2, "table": 1.1, "background": 0.6, "reference": 0.1}
+#: A query vector by rule, as long as the embeddings.
+VECTOR = [((i * 37) % 64) / 64.0 - 0.5 for i in range(64)]
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def _docs(s: SparkSession, d: str) -> DataFrame:
+    """Documents, of a key delivered again the last."""
+    c = ["title", "abstract", "publication_date", "source_institution", "clinical_department", "document_kind"]
+    x = table(s, d, "documents").groupBy(F.col("doc_key").alias("doc_id")).agg(F.max_by(F.struct(*c), F.struct("updated_at", F.col("doc_id").alias("i"))).alias("r"))
+    return x.select("doc_id", "r.*")
+
+
+DOCS_SQL = """docs AS (SELECT doc_key AS doc_id, r.title AS title, r.abstract AS abstract, r.publication_date AS publication_date, r.source_institution AS source_institution, r.clinical_department AS clinical_department, r.document_kind AS document_kind
+  FROM (SELECT doc_key, arg_max({'title': title, 'abstract': abstract, 'publication_date': publication_date, 'source_institution': source_institution, 'clinical_department': clinical_department, 'document_kind': document_kind}, (updated_at, doc_id)) AS r FROM documents GROUP BY doc_key))"""
+
+
+def _chunks(s: SparkSession, d: str) -> DataFrame:
+    """Chunks, once each: rows delivered again differ only in when."""
+    return ingest.latest(table(s, d, "chunks"), ["chunk_id"], "ingested_at")
+
+
+CHUNKS_SQL = "ch AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, ingested_at DESC)"
+
+# -- filters and lookups
+
+
+@query("filter_ilike_kind", "SELECT doc_id, doc_key, source_institution, document_kind FROM documents WHERE source_institution ILIKE '%council%' AND document_kind = 'guideline'")
+def _(s, d):
+    return filters.search_filter(table(s, d, "documents", "doc_id", "doc_key", "source_institution", "document_kind"), institution="council", kind="guideline")
+
+
+@query("time_range_text", "SELECT doc_id, publication_date FROM documents WHERE publication_date >= '2016-01-01' AND publication_date <= '2021-12-31'")
+def _(s, d):
+    return filters.search_filter(table(s, d, "documents", "doc_id", "publication_date"), time_range="2016-05-01~2021-06-30")
+
+
+@query("time_lower_bound", "SELECT doc_id, publication_date FROM documents WHERE publication_date >= '2022'")
+def _(s, d):
+    return filters.search_filter(table(s, d, "documents", "doc_id", "publication_date"), time_range="2022")
+
+
+@query("read_lookup", """SELECT doc_id, title, substr(content_md, 1, 200) AS content_md FROM documents WHERE lower(title) = 'guideline on vaccination in gout' OR title ILIKE '%Guideline on vaccination in gout%'
+ORDER BY CASE WHEN lower(title) = 'guideline on vaccination in gout' THEN 0 ELSE 1 END, publication_date DESC NULLS LAST, length(title), doc_id LIMIT 1""")
+def _(s, d):
+    return filters.read_document(table(s, d, "documents"), title="Guideline on vaccination in gout", max_chars=200).select("doc_id", "title", "content_md")
+
+
+@query("json_metadata_filter", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase') AND json_extract_string(props, '$.device') = 'mobile'")
+def _(s, d):
+    e = table(s, d, "events", "event_id", "event_type", "props").withColumn("metadata", F.from_json("props", "map<string,string>"))
+    return filters.metadata_filter(e, {"event_type": ["click", "purchase"], "device": "mobile", "missing": None}).select("event_id", "event_type")
+
+
+# -- joins
+
+
+@query("join_chunk_document", f"WITH {DOCS_SQL}, {CHUNKS_SQL} SELECT docs.document_kind, ch.chunk_type, count(*) AS n, sum(ch.chunk_index) AS s FROM ch JOIN docs USING (doc_id) GROUP BY ALL")
+def _(s, d):
+    x = joins.with_document(_chunks(s, d).select("chunk_id", "doc_id", "chunk_type", "chunk_index"), _docs(s, d), ["document_kind"])
+    return x.groupBy("document_kind", "chunk_type").agg(F.count("*").alias("n"), F.sum("chunk_index").alias("s"))
+
+
+@query("anti_missing_vectors", "SELECT DISTINCT doc_key AS id FROM documents WHERE doc_key NOT IN (SELECT doc_id FROM document_cards)")
+def _(s, d):
+    have = table(s, d, "document_cards", "doc_id").select(F.col("doc_id").alias("id"), F.lit("m").alias("model"))
+    return joins.missing_vectors(table(s, d, "documents").select(F.col("doc_key").alias("id")).distinct(), have, "id", "m")
+
+
+@query("semi_known_sections", "SELECT doc_id, count(*) AS n FROM sections WHERE doc_id IN (SELECT doc_id FROM document_cards) GROUP BY doc_id")
+def _(s, d):
+    return joins.known_sections(table(s, d, "sections", "doc_id", "section_index"), table(s, d, "document_cards", "doc_id")).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query("context_enrich", f"""WITH {CHUNKS_SQL}, sec AS (SELECT doc_id, section_path, arg_min({{'h': heading, 'a': char_start, 'b': char_end}}, section_index) AS x FROM sections GROUP BY ALL)
+SELECT ch.chunk_id, coalesce(x.h, ch.section_path[-1]) AS heading, x.a AS char_start, x.b AS char_end, CASE WHEN x.a IS NOT NULL AND x.b IS NOT NULL THEN 'section' END AS char_span_kind
+FROM ch LEFT JOIN sec ON ch.doc_id = sec.doc_id AND ch.section_path = sec.section_path""")
+def _(s, d):
+    x = joins.section_context(_chunks(s, d).select("chunk_id", "doc_id", "section_path"), table(s, d, "sections"))
+    return x.select("chunk_id", "heading", "char_start", "char_end", "char_span_kind")
+
+
+@query("distinct_on_first", "SELECT doc_id, array_to_string(section_path, ' > ') AS path, min(section_index) AS section_index FROM sections GROUP BY ALL")
+def _(s, d):
+    x = table(s, d, "sections").select("doc_id", F.array_join("section_path", " > ").alias("path"), "section_index")
+    return fusion.first_per(x, ["doc_id", "path"], [F.col("section_index")])
+
+
+@query("inherit_metadata", f"""WITH {DOCS_SQL}, {CHUNKS_SQL} SELECT ch.chunk_id, coalesce(nullif(ch.document_kind, ''), nullif(docs.document_kind, ''), 'guideline') AS document_kind, coalesce(nullif(ch.publication_date, ''), nullif(docs.publication_date, ''), 'unknown') AS publication_date
+FROM ch LEFT JOIN docs USING (doc_id)""")
+def _(s, d):
+    x = joins.inherit(_chunks(s, d).select("chunk_id", "doc_id", "document_kind", "publication_date"), _docs(s, d), {"document_kind": "guideline", "publication_date": "unknown"})
+    return x.select("chunk_id", "document_kind", "publication_date")
+
+
+@query("sync_metadata", f"""WITH {DOCS_SQL}, {CHUNKS_SQL} SELECT docs.source_institution AS source_institution, count(*) AS n, count(*) FILTER (WHERE ch.title IS DISTINCT FROM coalesce(docs.title, ch.title) OR ch.clinical_department IS DISTINCT FROM coalesce(docs.clinical_department, ch.clinical_department)) AS n_changed
+FROM ch JOIN docs USING (doc_id) GROUP BY ALL""")
+def _(s, d):
+    docs = _docs(s, d)
+    x = joins.sync_metadata(_chunks(s, d).select("chunk_id", "doc_id", "title", "clinical_department"), docs, ["title", "clinical_department"])
+    return x.join(docs.select("doc_id", "source_institution"), "doc_id").groupBy("source_institution").agg(F.count("*").alias("n"), F.count_if("changed").alias("n_changed"))
+
+
+# -- aggregates
+
+
+@query("kind_counts", "SELECT document_kind, count(*) AS n FROM documents GROUP BY ALL")
+def _(s, d):
+    return aggregates.kind_counts(table(s, d, "documents", "document_kind"))
+
+
+@query("source_distribution", "SELECT source_institution, count(*) AS n FROM documents GROUP BY ALL")
+def _(s, d):
+    return aggregates.distribution(table(s, d, "documents", "source_institution"), "source_institution")
+
+
+@query("table_stats", """SELECT 'documents' AS table_name, count(*) AS n, count(*) FILTER (WHERE publication_date = 'unknown') AS unknown_dates FROM documents
+UNION ALL SELECT 'sections', count(*), count(*) FILTER (WHERE publication_date = 'unknown') FROM sections UNION ALL SELECT 'eval_items', count(*), NULL FROM eval_items""")
+def _(s, d):
+    return aggregates.table_stats({t: table(s, d, t) for t in ("documents", "sections", "eval_items")})
+
+
+@query("snapshot_checks", f"""WITH {DOCS_SQL}, k(kind) AS (VALUES ('guideline'), ('consensus')), n AS (SELECT document_kind AS kind, count(DISTINCT doc_id) AS documents FROM docs GROUP BY ALL),
+c AS (SELECT docs.document_kind AS kind, count(DISTINCT doc_id) AS n FROM document_cards JOIN docs USING (doc_id) GROUP BY ALL), h AS (SELECT docs.document_kind AS kind, count(*) AS n FROM chunks JOIN docs USING (doc_id) GROUP BY ALL)
+SELECT k.kind, 'documents' AS check_name, coalesce(n.documents, 0) > 0 AS ok FROM k LEFT JOIN n USING (kind) UNION ALL SELECT k.kind, 'cards', coalesce(c.n, 0) = coalesce(n.documents, 0) FROM k LEFT JOIN n USING (kind) LEFT JOIN c USING (kind)
+UNION ALL SELECT k.kind, 'chunks', coalesce(h.n, 0) > 0 FROM k LEFT JOIN h USING (kind)""")
+def _(s, d):
+    return aggregates.snapshot_problems(_docs(s, d), {"cards": table(s, d, "document_cards"), "chunks": table(s, d, "chunks")})
+
+
+@query("content_hash_dedup", """WITH x AS (SELECT doc_id, sha256(coalesce(content_md, '')) AS digest, CASE WHEN document_kind = 'consensus' THEN 1 ELSE 0 END AS k FROM documents),
+f AS (SELECT digest, arg_min(doc_id, (k, doc_id)) AS canonical, count(*) AS n FROM x GROUP BY digest) SELECT x.digest, f.canonical, x.doc_id FROM x JOIN f USING (digest) WHERE n > 1 AND x.doc_id != f.canonical""")
+def _(s, d):
+    x = table(s, d, "documents", "doc_id", "content_md", "document_kind")
+    return aggregates.duplicates_by_content(x, "doc_id", "content_md", [F.when(F.col("document_kind") == "consensus", 1).otherwise(0)])
+
+
+@query("latest_by_key", "SELECT doc_key, max(updated_at) AS updated_at, arg_max(doc_id, updated_at) AS doc_id FROM documents GROUP BY doc_key")
+def _(s, d):
+    return ingest.latest(table(s, d, "documents", "doc_key", "doc_id", "updated_at").withColumn("at", F.col("updated_at")), ["doc_key"], "at").select("doc_key", "doc_id", "updated_at")
+
+
+@query("duplicate_keys", "SELECT doc_key, count(*) AS n FROM documents GROUP BY doc_key HAVING count(*) > 1")
+def _(s, d):
+    return aggregates.duplicate_keys(table(s, d, "documents", "doc_key"), "doc_key")
+
+
+@query("repair_documents", r"""SELECT doc_id, trim(regexp_replace(coalesce(title, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', ' ', 'g')) AS new_title, CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) AS new_year, sha256(coalesce(content_md, '')) AS content_sha256
+FROM documents WHERE CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) BETWEEN 2012 AND 2026""")
+def _(s, d):
+    return aggregates.repair_documents(table(s, d, "documents"), 2012, 2026).select("doc_id", "new_title", "new_year", "content_sha256")
+
+
+@query("recall_mrr", """WITH r AS (SELECT DISTINCT query_id, chunk_id AS id, bm25_score, dense_distance FROM rank_candidates),
+a AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC NULLS LAST, id) AS rank FROM (SELECT query_id, id, max(bm25_score) AS s FROM r GROUP BY ALL)),
+rel AS (SELECT DISTINCT query_id, id FROM r WHERE dense_distance < 0.3), n AS (SELECT query_id, count(*) AS n FROM rel GROUP BY ALL),
+p AS (SELECT q.query_id, max(coalesce(n.n, 0)) AS n, count(rel.id) FILTER (WHERE rank <= 5) AS h5, count(rel.id) FILTER (WHERE rank <= 10) AS h10, min(rank) FILTER (WHERE rank <= 10 AND rel.id IS NOT NULL) AS f
+  FROM (SELECT DISTINCT query_id FROM r) q LEFT JOIN a USING (query_id) LEFT JOIN rel ON rel.query_id = a.query_id AND rel.id = a.id LEFT JOIN n ON n.query_id = q.query_id GROUP BY ALL)
+SELECT round(avg(CASE WHEN n > 0 THEN h5 / n ELSE 0 END), 6) AS recall_5, round(avg(CASE WHEN n > 0 THEN h10 / n ELSE 0 END), 6) AS recall_10, round(avg(coalesce(1.0::DOUBLE / f, 0)), 6) AS mrr_10 FROM p""")
+def _(s, d):
+    r = table(s, d, "rank_candidates").select("query_id", F.col("chunk_id").alias("id"), F.substring_index("chunk_id", "#", 1).alias("doc_id"), "bm25_score", "dense_distance")
+    best = r.groupBy("query_id", "id", "doc_id").agg(F.max("bm25_score").alias("score"))
+    hits = fusion.rank_within(best, ["query_id"], "id", F.col("score")).withColumn("chunk_type", F.lit("evidence"))
+    m = aggregates.retrieval_metrics(hits, r.filter("dense_distance < 0.3"), r.select("query_id").distinct())
+    return m.select("recall_5", "recall_10", "mrr_10")
+
+
+# -- scalar functions
+
+
+@query("tokenize_counts", r"SELECT chunk_id, max(len(regexp_extract_all(coalesce(content, ''), '[A-Za-z0-9]+(?:[-''][A-Za-z0-9]+)?|[\x{4e00}-\x{9fff}]'))) AS n FROM chunks GROUP BY chunk_id")
+def _(s, d):
+    return table(s, d, "chunks", "chunk_id", "content").groupBy("chunk_id").agg(F.max(X.token_count("content")).alias("n"))
+
+
+@query("record_fields", r"""SELECT doc_id, CAST(nullif(regexp_extract(coalesce(publication_date, ''), '(19\d{2}|20\d{2})', 1), '') AS INT) AS y, coalesce(regexp_matches(publication_date, '^20[12]\d-\d{2}-\d{2}$'), false) AS valid,
+coalesce(greatest(0.0::DOUBLE, least(0.12::DOUBLE, (CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) - 2012) / 14.0::DOUBLE * 0.12::DOUBLE)), 0.0) AS boost,
+CASE WHEN len(list_distinct(list_filter(string_split(coalesce(clinical_department, ''), '|'), lambda x: trim(x) != ''))) > 1 THEN 'compositive' ELSE 'single' END AS scope FROM documents""")
+def _(s, d):
+    x = table(s, d, "documents", "doc_id", "publication_date", "clinical_department")
+    return x.select("doc_id", R.year("publication_date").alias("y"), R.valid_date("publication_date").alias("valid"), R.recency_boost("publication_date").alias("boost"), R.department_fields("clinical_department")["scope"].alias("scope"))
+
+
+@query("truthy_coerce", "SELECT lower(trim(ocr_applied)) AS v, count(*) AS n, count(*) FILTER (WHERE lower(trim(ocr_applied)) IN ('1', 'true', 'yes', 'y')) AS n_true FROM document_cards GROUP BY ALL")
+def _(s, d):
+    return table(s, d, "document_cards", "ocr_applied").groupBy(F.lower(F.trim("ocr_applied")).alias("v")).agg(F.count("*").alias("n"), F.count_if(R.truthy("ocr_applied")).alias("n_true"))
+
+
+@query("cleaning_flag_counts", r"SELECT f AS flag, count(*) AS n FROM (SELECT unnest(list_filter(list_transform(regexp_split_to_array(coalesce(cleaning_flags, ''), '[,;]\s*'), lambda x: trim(x)), lambda x: x != '')) AS f FROM document_cards) GROUP BY ALL")
+def _(s, d):
+    return table(s, d, "document_cards", "cleaning_flags").select(F.explode(X.flags("cleaning_flags")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+
+
+@query("term_overlap", "SELECT doc_id, ((CASE WHEN contains(lower(t), 'telephone') THEN 1 ELSE 0 END) + (CASE WHEN contains(lower(t), 'follow-up') THEN 1 ELSE 0 END) + (CASE WHEN contains(lower(t), 'chronic') THEN 1 ELSE 0 END) + (CASE WHEN contains(lower(t), 'heart') THEN 1 ELSE 0 END) + (CASE WHEN contains(lower(t), 'failure') THEN 1 ELSE 0 END)) / 5.0::DOUBLE AS overlap FROM (SELECT doc_id, coalesce(title, '') AS t FROM documents)")
+def _(s, d):
+    return table(s, d, "documents", "doc_id", "title").select("doc_id", X.term_overlap("title", TERMS).alias("overlap"))
+
+
+@query("query_terms", r"SELECT item_id, array_to_string(list_distinct_ordered, ' ') AS terms FROM (SELECT item_id, list_transform(list_filter(list_zip(t, range(1, len(t) + 1)), lambda p: list_position(t, p[1]) = p[2]), lambda p: p[1]) AS list_distinct_ordered FROM (SELECT item_id, regexp_extract_all(lower(text), '[A-Za-z0-9]+(?:[-''][A-Za-z0-9]+)?|[\x{4e00}-\x{9fff}]+') AS t FROM eval_items))")
+def _(s, d):
+    return table(s, d, "eval_items").select("item_id", F.array_join(X.terms("text"), " ").alias("terms"))
+
+
+@query("clip_text", r"""SELECT doc_id, CASE WHEN length(t) <= 80 THEN t ELSE rtrim(substr(t, 1, 80)) || '...' END AS clipped FROM (SELECT doc_id, trim(regexp_replace(coalesce(abstract, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', ' ', 'g')) AS t FROM documents)""")
+def _(s, d):
+    return table(s, d, "documents", "doc_id", "abstract").select("doc_id", X.clip("abstract", 80).alias("clipped"))
+
+
+@query("text_signal_ratios", r"""SELECT doc_id, length(t) AS visible, length(regexp_replace(t, '[^\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]', '', 'g')) AS cjk, round(length(regexp_replace(t, '[^\p{L}\p{N}\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]', '', 'g')) / greatest(length(t), 1)::DOUBLE, 2) AS signal_ratio
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', '', 'g') AS t FROM documents)""")
+def _(s, d):
+    st = X.signal_stats("text")
+    return table(s, d, "documents", "doc_id", "text").select("doc_id", st.alias("s")).select("doc_id", "s.visible", "s.cjk", F.round("s.signal_ratio", 2).alias("signal_ratio"))
+
+
+@query("stable_ids", "SELECT doc_id, printf('%s#chunk_%05d', doc_key, n_chars) AS cid, sha256(coalesce(text, '')) AS digest, substr(sha1(concat_ws('|', doc_key, source)), 1, 10) AS short FROM documents")
+def _(s, d):
+    x = table(s, d, "documents", "doc_id", "doc_key", "n_chars", "text", "source")
+    return x.select("doc_id", R.chunk_id("doc_key", "n_chars").alias("cid"), R.sha256_text("text").alias("digest"), R.short_hash(F.col("doc_key"), F.col("source")).alias("short"))
+
+
+@query("hash_bucket", "SELECT DISTINCT t, (('0x' || substr(sha1(t), 1, 8))::BIGINT % 384)::INT AS bucket, CASE WHEN ('0x' || substr(sha1(t), 9, 2))::BIGINT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign FROM (SELECT unnest(regexp_extract_all(lower(text), '[A-Za-z0-9]+(?:[-''][A-Za-z0-9]+)?|[\\x{4e00}-\\x{9fff}]')) AS t FROM eval_items)")
+def _(s, d):
+    x = table(s, d, "eval_items").select(F.explode(X.tokens("text")).alias("t")).distinct()
+    return x.select("t", R.bucket(F.col("t"), 384).alias("bucket"), R.sign(F.col("t")).alias("sign"))
+
+
+@query("path_hint_source", "SELECT doc_id, CASE split_part(markdown_clean_path, '/', 1) WHEN 'pdf' THEN 'scanned files' WHEN 'markdown_clean' THEN 'cleaned files' ELSE 'Unknown' END AS hint FROM (SELECT doc_id, CASE WHEN markdown_clean_path LIKE 'markdown_clean/%' THEN markdown_clean_path ELSE '' END AS markdown_clean_path FROM documents)")
+def _(s, d):
+    local = F.when(F.col("markdown_clean_path").startswith("markdown_clean/"), F.col("markdown_clean_path")).otherwise("")
+    return table(s, d, "documents", "doc_id", "markdown_clean_path").select("doc_id", classify.source_by_path(local, HINTS).alias("hint"))
+
+
+# -- ranking
+
+
+def _ranks(s: SparkSession, d: str) -> DataFrame:
+    r = table(s, d, "rank_candidates").groupBy("query_id", F.col("chunk_id").alias("id")).agg(F.max("bm25_score").alias("bm25"), F.min("dense_distance").alias("dense"))
+    a = fusion.rank_within(r.filter("bm25 IS NOT NULL"), ["query_id"], "id", F.col("bm25")).select("query_id", "id", F.lit("bm25").alias("channel"), "rank")
+    b = fusion.rank_within(r.filter("dense IS NOT NULL"), ["query_id"], "id", -F.col("dense")).select("query_id", "id", F.lit("dense").alias("channel"), "rank")
+    return a.unionByName(b)
+
+
+RANKS_SQL = """r AS (SELECT query_id, chunk_id AS id, max(bm25_score) AS bm25, min(dense_distance) AS dense FROM rank_candidates GROUP BY ALL),
+k AS (SELECT query_id, id, 'bm25' AS channel, row_number() OVER (PARTITION BY query_id ORDER BY bm25 DESC, id) AS rank FROM r WHERE bm25 IS NOT NULL UNION ALL SELECT query_id, id, 'dense', row_number() OVER (PARTITION BY query_id ORDER BY dense, id) FROM r WHERE dense IS NOT NULL)"""
+
+
+@query("rank_channels", f"WITH {RANKS_SQL} SELECT query_id, id, channel, rank FROM k")
+def _(s, d):
+    return _ranks(s, d)
+
+
+@query("rrf_fusion", f"WITH {RANKS_SQL} SELECT query_id, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM k GROUP BY ALL")
+def _(s, d):
+    return fusion.rrf(_ranks(s, d), by=["query_id"])
+
+
+@query("rrf_weighted", f"WITH {RANKS_SQL} SELECT query_id, id, round(sum(0.7::DOUBLE / (60 + rank)), 9) AS score FROM k WHERE channel = 'dense' GROUP BY ALL")
+def _(s, d):
+    return fusion.rrf(_ranks(s, d), weights={"bm25": 0.0, "dense": 0.7}, by=["query_id"])
+
+
+@query("minmax_normalize", """WITH x AS (SELECT DISTINCT query_id, chunk_id, view_id, rerank_logit FROM rank_candidates WHERE rerank_logit IS NOT NULL), b AS (SELECT query_id, min(rerank_logit) AS lo, max(rerank_logit) AS hi FROM x GROUP BY ALL)
+SELECT query_id, chunk_id, view_id, round(CASE WHEN hi > lo THEN (rerank_logit - lo) / (hi - lo) ELSE 1 / (1 + exp(-greatest(-50, least(50, rerank_logit)))) END, 6) AS norm FROM x JOIN b USING (query_id)""")
+def _(s, d):
+    x = table(s, d, "rank_candidates", "query_id", "chunk_id", "view_id", "rerank_logit").filter("rerank_logit IS NOT NULL").distinct()
+    return fusion.minmax(x, "rerank_logit", "norm", by=["query_id"]).select("query_id", "chunk_id", "view_id", F.round("norm", 6).alias("norm"))
+
+
+def _bm25_sql(where: str, k: int | None, terms: list[str], source: str = "ch", text: str = "concat_ws(' ', title, content)", id_: str = "chunk_id", extra: str = "") -> str:
+    tf = ", ".join(f"len(list_filter(t, lambda x: x = '{w}')) AS f{i}" for i, w in enumerate(terms))
+    df = ", ".join(f"count(*) FILTER (WHERE f{i} > 0) AS d{i}" for i in range(len(terms)))
+    score = " + ".join(f"CASE WHEN f{i} > 0 THEN ln(1 + (n - d{i} + 0.5::DOUBLE) / (d{i} + 0.5::DOUBLE)) * (f{i} * 2.2::DOUBLE) / (f{i} + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * greatest(dl, 1) / greatest(avgdl, 1.0::DOUBLE))) ELSE 0 END" for i in range(len(terms)))
+    some = " OR ".join(f"f{i} > 0" for i in range(len(terms)))
+    return f"""tok AS (SELECT *, regexp_extract_all(lower({text}), '[A-Za-z0-9]+(?:[-''][A-Za-z0-9]+)?|[\\x{{4e00}}-\\x{{9fff}}]') AS t FROM {source}),
+tf AS (SELECT *, len(t) AS dl, {tf} FROM tok), st AS (SELECT count(*) AS n, avg(dl) AS avgdl, {df} FROM tf),
+hits AS (SELECT {id_}{extra}, round({score}, 6) AS score FROM tf, st WHERE ({some}){' AND ' + where if where else ''}{f' ORDER BY score DESC, {id_} LIMIT {k}' if k else ''})"""
+
+
+BM25_TERMS = ["telephone", "follow-up", "for", "chronic", "heart", "failure"]
+
+
+@query("bm25_topk", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
+def _(s, d):
+    return search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50).select("chunk_id", "score")
+
+
+@query("bm25_filtered", f"WITH {CHUNKS_SQL}, {_bm25_sql('''document_kind = 'guideline' AND NOT is_reference_section''', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
+def _(s, d):
+    only = F.coalesce((F.col("document_kind") == "guideline") & ~F.col("is_reference_section"), F.lit(False))
+    return search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, only=only).select("chunk_id", "score")
+
+
+_BOOST_SQL = "CASE " + " ".join(f"WHEN chunk_type = '{t}' THEN {v}::DOUBLE" for t, v in BOOSTS.items()) + " ELSE 1.0 END"
+
+
+@query("bm25_type_boost", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS, extra=', chunk_type')} SELECT chunk_id, round(score * {_BOOST_SQL}, 6) AS score FROM hits ORDER BY score DESC, chunk_id LIMIT 10")
+def _(s, d):
+    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", None, keep=["chunk_type"])
+    return fusion.boosted(x, "chunk_type", BOOSTS, 10, "chunk_id").select("chunk_id", "score")
+
+
+@query("overfetch_dedup", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', doc_id')} SELECT doc_id, max(score) AS score FROM hits GROUP BY doc_id ORDER BY score DESC, arg_min(chunk_id, (-score, chunk_id)) LIMIT 20""")
+def _(s, d):
+    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["doc_id"])
+    return fusion.unique_documents(x.select("doc_id", "score", F.col("chunk_id").alias("id")), 20).select("doc_id", "score")
+
+
+@query("quota_route", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 200, BM25_TERMS, extra=", CASE WHEN len(list_distinct(list_filter(string_split(coalesce(clinical_department, ''), '|'), lambda x: trim(x) != ''))) > 1 THEN 'compositive' ELSE 'single' END AS scope")},
+q AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY score DESC, chunk_id) <= CASE scope WHEN 'single' THEN 91 ELSE 9 END AS i FROM hits), z AS (SELECT *, row_number() OVER (ORDER BY i DESC, score DESC, chunk_id) AS pos FROM q) SELECT chunk_id, scope, score FROM z WHERE pos <= 100""")
+def _(s, d):
+    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 200, keep=["clinical_department"])
+    x = x.withColumn("scope", R.department_fields("clinical_department")["scope"])
+    return fusion.quota(x, "scope", [F.desc("score"), F.col("chunk_id")], {"single": 91, "compositive": 9}, 100).select("chunk_id", "scope", "score")
+
+
+@query("fallback_union", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', document_kind')}, g AS (SELECT chunk_id, score, false AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'consensus'),
+c AS (SELECT chunk_id, score, true AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'guideline') SELECT chunk_id, score, is_fallback FROM g WHERE r <= 25 UNION ALL SELECT chunk_id, score, is_fallback FROM c WHERE r <= 25 - (SELECT count(*) FROM g WHERE r <= 25)""")
+def _(s, d):
+    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["document_kind"])
+    a, b = (x.filter(F.col("document_kind") == k).select("chunk_id", "score") for k in ("consensus", "guideline"))
+    return fusion.fallback(a, b, [F.desc("score"), F.col("chunk_id")], 25, "chunk_id").select("chunk_id", "score", "is_fallback")
+
+
+@query("dense_cosine_topk", f"WITH q AS (SELECT {VECTOR!r}::DOUBLE[] AS v) SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], v) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(v, v))), 6) AS score FROM embeddings, q ORDER BY score DESC, vec_id LIMIT 50")
+def _(s, d):
+    return search.dense_topk(search.check_dimension(table(s, d, "embeddings"), "embedding", 64), VECTOR, "embedding", "vec_id", 50)
+
+
+@query("quality_multiplier", r"""SELECT doc_id, ingested_at, round(1 - least(0.55, CASE q WHEN 'poor' THEN 0.28 WHEN 'warning' THEN 0.08 ELSE 0 END + CASE p WHEN 'poor' THEN 0.24 WHEN 'warning' THEN 0.08 ELSE 0 END + CASE WHEN n IN ('1', 'true', 'yes', 'y') THEN 0.18 ELSE 0 END
++ CASE WHEN s IN ('needed_unavailable', 'needed_not_applied', 'needed_but_disabled', 'failed') THEN 0.24 WHEN s = 'applied_needs_review' THEN 0.14 ELSE 0 END + CASE WHEN s = '' AND p = 'poor' AND sn IN ('1', 'true', 'yes', 'y') THEN 0.14 ELSE 0 END
++ CASE WHEN list_has_any(f, ['likely_ocr_failure', 'low_text_signal', 'noisy_ocr_lines', 'pdf_text_mojibake']) THEN 0.18 ELSE 0 END + CASE WHEN list_contains(f, 'noisy_ocr_title') THEN 0.10 ELSE 0 END)::DOUBLE, 4) AS multiplier
+FROM (SELECT doc_id, ingested_at, lower(trim(coalesce(cleaning_quality, ''))) AS q, lower(trim(coalesce(pdf_text_quality, ''))) AS p, lower(trim(coalesce(pdf_needs_ocr, ''))) AS n, lower(trim(coalesce(ocr_status, ''))) AS s, lower(trim(coalesce(source_pdf_needs_ocr, ''))) AS sn,
+list_transform(regexp_split_to_array(lower(coalesce(cleaning_flags, '')), '[,;]\s*'), lambda x: trim(x)) AS f FROM document_cards)""")
+def _(s, d):
+    return table(s, d, "document_cards").select("doc_id", "ingested_at", rerank.quality_multiplier().alias("multiplier"))
+
+
+@query("rule_rerank_chunk", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS, extra=", title, content, chunk_type, is_reference_section, token_count, array_to_string(section_path, ' > ') AS path")},
+z AS (SELECT *, lower(coalesce(content, '')) AS c, lower(coalesce(title, '')) AS ti, lower(coalesce(path, '')) AS pa FROM hits),
+o AS (SELECT *, ({' + '.join(f"(CASE WHEN contains(c, '{w}') THEN 1 ELSE 0 END)" for w in BM25_TERMS)}) AS n FROM z)
+SELECT chunk_id, round(score * (1 + CASE WHEN contains(c, '{QUERY}') THEN 0.36 ELSE 0 END + CASE WHEN n > 0 THEN least(0.26, 0.08 + n / 6.0::DOUBLE * 0.22) ELSE 0 END + CASE WHEN {' OR '.join(f"contains(pa, '{w}')" for w in BM25_TERMS)} THEN 0.12 ELSE 0 END
++ CASE WHEN {' OR '.join(f"contains(ti, '{w}')" for w in BM25_TERMS)} THEN 0.08 ELSE 0 END + CASE chunk_type WHEN 'recommendation' THEN 0.18 WHEN 'key_message' THEN 0.14 WHEN 'pico' THEN 0.12 WHEN 'algorithm' THEN 0.10 WHEN 'evidence' THEN 0.06 WHEN 'table' THEN 0.05 ELSE 0 END)
+* greatest(0.05, 1 - least(0.9, CASE WHEN is_reference_section THEN 0.75 ELSE 0 END + CASE WHEN regexp_matches(pa, 'references?|bibliography|参考文献') THEN 0.35 ELSE 0 END)), 6) AS score FROM o ORDER BY score DESC, token_count DESC, chunk_id LIMIT 20""")
+def _(s, d):
+    keep = ["title", "content", "chunk_type", "is_reference_section", "token_count", "section_path"]
+    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, keep=keep)
+    return rerank.rule_chunks(x, QUERY, 20).select("chunk_id", "score")
+
+
+# -- classification
+
+
+_LABEL_SQL = ", ".join(f"({i}, '{a}', {b!r})" for i, (a, b) in enumerate([]))
+
+
+@query("label_scores", """SELECT doc_id, label, sum(s) AS score FROM (SELECT doc_id, r.label, CASE WHEN CASE WHEN r.k ~ '[\\x{4e00}-\\x{9fff}]' THEN contains(t, r.k) ELSE regexp_matches(' ' || t || ' ', '[^a-z0-9]' || r.k || '[^a-z0-9]') END THEN r.bonus ELSE 0 END + CASE WHEN CASE WHEN r.k ~ '[\\x{4e00}-\\x{9fff}]' THEN contains(b, r.k) ELSE regexp_matches(' ' || b || ' ', '[^a-z0-9]' || r.k || '[^a-z0-9]') END THEN r.weight ELSE 0 END AS s
+FROM (SELECT doc_id, lower(coalesce(title, '')) AS t, lower(coalesce(text, '')) AS b FROM documents), (VALUES %s) r(label, k, bonus, weight)) GROUP BY ALL HAVING sum(s) > 0""".replace("%s", ", ".join(f"('{a}', '{k}', {b}.0::DOUBLE, {w}.0::DOUBLE)" for a, k, b, w in DEPARTMENTS)))
+def _(s, d):
+    x = spread(table(s, d, "documents", "doc_id", "title", "text"))
+    return classify.keyword_scores(x, "doc_id", F.col("title"), F.col("text"), DEPARTMENTS).select("doc_id", "label", "score")
+
+
+@query("label_multi_threshold")
+def _(s, d):
+    x = spread(table(s, d, "documents", "doc_id", "title", "text"))
+    return classify.labels(classify.keyword_scores(x, "doc_id", F.col("title"), F.col("text"), DEPARTMENTS), "doc_id")
+
+
+@query("section_types")
+def _(s, d):
+    x = spread(table(s, d, "sections", "section_id", "heading", "section_path", "content"))
+    t = classify.section_type(F.col("heading"), F.col("section_path"), F.col("content"))
+    return x.select("section_id", t.alias("section_type"), classify.type_weight(t).alias("weight"))
+
+
+# -- windows and links
+
+
+@query("prev_next_links", f"WITH {CHUNKS_SQL} SELECT chunk_id, lag(chunk_id) OVER w AS prev_id, lead(chunk_id) OVER w AS next_id FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)")
+def _(s, d):
+    return chunking.neighbours(_chunks(s, d).select("chunk_id", "doc_id", "chunk_index"), "doc_id", "chunk_index", "chunk_id").select("chunk_id", "prev_id", "next_id")
+
+
+@query("same_section_links", f"WITH {CHUNKS_SQL}, p AS (SELECT chunk_id, doc_id, section_path, row_number() OVER (PARTITION BY doc_id, section_path ORDER BY chunk_index, chunk_id) AS i FROM ch) SELECT a.chunk_id AS source, b.chunk_id AS target FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.section_path = b.section_path AND b.i BETWEEN a.i + 1 AND a.i + 5")
+def _(s, d):
+    return chunking.same_section_links(_chunks(s, d).select("chunk_id", "doc_id", "section_path", "chunk_index"), ["doc_id", "section_path"], "chunk_index", "chunk_id")
+
+
+@query("heading_islands", f"WITH {CHUNKS_SQL}, c AS (SELECT chunk_id, doc_id, chunk_index, CASE WHEN section_path = lag(section_path) OVER w THEN 0 ELSE 1 END AS c FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)) SELECT chunk_id, sum(c) OVER (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)::BIGINT AS island FROM c")
+def _(s, d):
+    x = _chunks(s, d).select("chunk_id", "doc_id", "chunk_index", F.array_join("section_path", " > ").alias("path"))
+    return chunking.islands(x.withColumn("o", F.struct("chunk_index", "chunk_id")), "doc_id", "o", "path").select("chunk_id", "island")
+
+
+@query("repeated_lines")
+def _(s, d):
+    return cleaning.repeated_lines(spread(table(s, d, "documents", "doc_id", "content_md")), "doc_id", "content_md")
+
+
+# -- parsing, cleaning, building: checked in the tests
+
+
+@query("parse_sections")
+def _(s, d):
+    return markdown.parse_sections(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id")
+
+
+@query("parse_blocks")
+def _(s, d):
+    return markdown.parse_blocks(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id")
+
+
+@query("table_chunks")
+def _(s, d):
+    return markdown.table_chunks(markdown.parse_blocks(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id"), "doc_id")
+
+
+@query("semantic_chunks")
+def _(s, d):
+    x = ingest.latest(table(s, d, "sections"), ["section_id"], "ingested_at")
+    return chunking.chunk_sections(spread(x), "section_id", "doc_id", "section_index")
+
+
+@query("clean_bodies")
+def _(s, d):
+    x = spread(table(s, d, "documents", "doc_id", "content_md")).select("doc_id", cleaning.cleaned("content_md").alias("body"))
+    return x.select("doc_id", "body", cleaning.assess(F.col("body")).alias("a")).select("doc_id", "body", "a.*")
+
+
+@query("document_cards_built")
+def _(s, d):
+    x = spread(table(s, d, "documents")).drop("doc_id").withColumnRenamed("doc_key", "doc_id")
+    return views.contract(views.cards(x), views.CARD_FIELDS)
+
+
+@query("document_views_built")
+def _(s, d):
+    x = spread(table(s, d, "documents")).drop("doc_id").withColumnRenamed("doc_key", "doc_id")
+    return views.views(views.cards(x))
+
+
+@query("front_matter_round_trip")
+def _(s, d):
+    x = spread(table(s, d, "documents"))
+    header = F.create_map(*[y for k in ("title", "publication_date", "document_kind") for y in (F.lit(k), F.coalesce(F.col(k), F.lit("")))])
+    md = files.dump_front_matter(header, F.coalesce("content_md", F.lit("")))
+    p = x.select("doc_id", files.parse_front_matter(md).alias("p"))
+    return p.select("doc_id", F.col("p.header")["publication_date"].alias("publication_date"), F.length("p.body").alias("n"))
+
+
+@query("cover_density_topk")
+def _(s, d):
+    return search.cover_density(spread(_chunks(s, d)), '"heart failure" telephone or "home monitoring" -newborns', [("title", "A"), ("chunk_type", "B"), ("content", "C")], "chunk_id", 50)
+
+
+@query("hashing_vectors")
+def _(s, d):
+    return spread(table(s, d, "eval_items")).select("item_id", R.vector_literal(R.hashing_encoder("text")).alias("vector"))
+
+
+@query("stored_rows")
+def _(s, d):
+    return ingest.chunk_rows(_chunks(s, d))
+
+
+@query("slugs")
+def _(s, d):
+    return spread(table(s, d, "documents", "doc_id", "source_institution", "publication_date", "text")).select("doc_id", R.doc_id(F.col("source_institution"), F.col("publication_date"), R.sha256_text("text")).alias("slug"))
+
+
+# -- whole requests
+
+
+def _store(s: SparkSession, d: str):
+    from tessella.api import Store
+
+    return Store(s, d)
+
+
+@query("hybrid_search")
+def _(s, d):
+    st = _store(s, d)
+    x = search_documents(Request(QUERY, topk=10), st.by_key, st.cards.dropDuplicates(["doc_id"]), st.views)
+    return x.select("doc_id", "title", "score", "base_score", "boost", "channels")
+
+
+@query("hybrid_retrieve")
+def _(s, d):
+    st = _store(s, d)
+    return retrieve_chunks(Request(QUERY, topk=10), st.chunks, st.sections).select("chunk_id", "doc_id", "score", "heading", "char_start", "char_end")
+
+
+@query("retrieve_with_fallback")
+def _(s, d):
+    st = _store(s, d)
+    x = with_fallback(Request(QUERY, topk=10, institution="Council"), lambda r: retrieve_chunks(r, st.chunks, st.sections, dense=False).select("chunk_id", "score"), "chunk_id")
+    return x
