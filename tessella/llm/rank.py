@@ -78,7 +78,7 @@ def combine(rows: DataFrame, group: str, row_id: Sequence[str], scores: dict[str
         return frame.select(*ids, F.explode(F.array(*one)).alias("x")).select(*ids, "x.*").filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
     flat = [s for s in scores if s not in levels]
-    parts = [long(flat, {}, rows)]
+    parts = [long(flat, {}, rows)] if flat else []
     for s, level in levels.items():
         in_level = long([s], {s: level}, rows.withColumn(level, F.coalesce(F.col(level), F.lit(""))))
         p = percentiles(in_level, ["score", "of"], "value")

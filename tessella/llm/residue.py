@@ -121,7 +121,7 @@ _WIDE = re.compile(r"\s{2,}")
 
 class Residue:
     def __init__(self, prose: NGrams):
-        scale = max(1.0, prose.total / 1e6)
+        scale = max(0.02, prose.total / 1e6)
         self.prose = NGrams(prose.counts + NGrams.of(seeds.spread(seeds.PROSE)).counts * LABELLED * scale)
         self.filler, self.notice = NGrams.of(seeds.spread(seeds.FILLER)), NGrams.of(seeds.spread(seeds.NOTICES))
 
