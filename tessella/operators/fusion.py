@@ -22,16 +22,17 @@ def rank_within(df: DataFrame, groups: Sequence[str], id_col: str, score: Column
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(score.desc_nulls_last(), F.col(id_col))))
 
 
-def rrf(ranks: DataFrame, k: int = RRF_K, weights: dict[str, float] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Reciprocal rank fusion of (by..., id, channel, rank); a channel of weight 0 or less is left out."""
+def rrf(ranks: DataFrame, k: int = RRF_K, weights: dict[str, float] | None = None, by: Sequence[str] = (), count: bool = False) -> DataFrame:
+    """Reciprocal rank fusion of (by..., id, channel, rank); a channel of weight 0 or less is left out. count: with how many
+    channels hold an id."""
     w = F.lit(1.0)
     if weights is not None:
         on = {c: v for c, v in weights.items() if v > 0}
         if not on:
-            return ranks.limit(0).select(*by, "id", F.lit(0.0).alias("score"))
+            return ranks.limit(0).select(*by, "id", F.lit(0.0).alias("score"), *([F.lit(0).alias("channels")] if count else []))
         ranks = ranks.filter(F.col("channel").isin(*on))
         w = F.element_at(F.create_map(*[x for c, v in on.items() for x in (F.lit(c), F.lit(float(v)))]), F.col("channel"))
-    return ranks.groupBy(*by, "id").agg(F.round(F.sum(w / (F.lit(float(k)) + F.col("rank"))), 9).alias("score"))
+    return ranks.groupBy(*by, "id").agg(F.round(F.sum(w / (F.lit(float(k)) + F.col("rank"))), 9).alias("score"), *([F.count("*").alias("channels")] if count else []))
 
 
 def last_payload(channels: Sequence[DataFrame], id_col: str) -> DataFrame:

@@ -52,8 +52,7 @@ def search_documents(request: Request, documents: DataFrame, cards: DataFrame, v
     ranks = None
     for c in lexical_channels(request, cards, views, recall) + (dense_channels(request, cards, views, recall) if dense else []):
         ranks = c if ranks is None else ranks.unionByName(c)
-    fused = fusion.rrf(ranks).join(ranks.groupBy("id").agg(F.count("*").alias("channels")), "id")
-    x = fused.withColumnRenamed("id", "doc_id").join(documents, "doc_id")
+    x = fusion.rrf(ranks, count=True).withColumnRenamed("id", "doc_id").join(documents, "doc_id")
     x = x.withColumn("scope", department_fields("clinical_department")["scope"])
     order = [F.desc("score"), F.col("doc_id")]
     x = fusion.quota(x, "scope", order, {"single": 45, "compositive": 5}, fusion.CANDIDATES) if request.department else x.orderBy(*order).limit(fusion.CANDIDATES)
