@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessella.operators.filters import read_document
 from tessella.plans.hybrid import Request, retrieve_chunks, search_documents
 from tessella.sources.ingest import latest
-from tessella.sources.tables import table
+from tessella.sources.tables import spread, table
 
 
 class Store:
@@ -17,9 +17,9 @@ class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.documents = table(spark, folder, "documents")
         self.by_key = latest(self.documents.select(F.col("doc_key").alias("doc_id"), "title", "publication_date", "source_institution", "clinical_department", "document_kind", "updated_at"), ["doc_id"], "updated_at")
-        self.cards = table(spark, folder, "document_cards").select("doc_id", "title", "publication_date", "source_institution", "clinical_department", "card_text")
-        self.views = table(spark, folder, "document_views").select("view_id", "doc_id", "title", "publication_date", "source_institution", "clinical_department", "text").dropDuplicates(["view_id"])
-        self.chunks = table(spark, folder, "chunks")
+        self.cards = spread(table(spark, folder, "document_cards")).select("doc_id", "title", "publication_date", "source_institution", "clinical_department", "card_text")
+        self.views = spread(table(spark, folder, "document_views")).select("view_id", "doc_id", "title", "publication_date", "source_institution", "clinical_department", "text").dropDuplicates(["view_id"])
+        self.chunks = spread(table(spark, folder, "chunks"))
         self.sections = table(spark, folder, "sections")
 
     def search(self, query: str, **how) -> DataFrame:

@@ -125,10 +125,10 @@ def _kept(x: Column, chars: str) -> Column:
     return F.length(F.regexp_replace(x, f"[^{chars}]", ""))
 
 
-def signal_stats(x: Column | str) -> Column:
+def signal_stats(x: Column | str, without_space: Column | None = None) -> Column:
     """Counts and ratios of visible, signal, CJK, weird, marker and punctuation characters as a struct. Signal is what
-    the JVM takes for a letter or number of any script."""
-    t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), SPACE, "")
+    the JVM takes for a letter or number of any script. without_space: the text without white space, where it is known."""
+    t = without_space if without_space is not None else F.regexp_replace(F.coalesce(_c(x), F.lit("")), SPACE, "")
     visible = F.length(t)
     total = F.greatest(visible, F.lit(1)).cast("double")
     signal, cjk = _kept(t, "\\p{L}\\p{N}" + CJK), _kept(t, CJK)

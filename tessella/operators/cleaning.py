@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.lazy import lazy_udf
-from tessella.functions.text import signal_stats
+from tessella.functions.text import SPACE, signal_stats
 
 #: What is taken out of lines and bodies.
 DOI = r"(?i)(?:https?://)?(?:dx\.)?doi\.org/\S+|https?://(?:dx\.)?doi\.\S*|\bdoi\b\s*[:：]?\s*(?:10\.\d{4,9}/\S+)?"
@@ -42,13 +42,15 @@ def repeated_lines(df: DataFrame, id_col: str, body: str, least_pages: int = 3)
     return seen.join(n, id_col).filter((F.col("n_pages") >= least_pages) & (F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("n_pages") * 0.3)))).select(id_col, "line", "pages")
 
 
-def assess(body: Column) -> Column:
-    """(quality, flags, signal_ratio, visible) of a cleaned body."""
-    s = signal_stats(body)
-    t = F.coalesce(body, F.lit(""))
-    blanks, words = F.regexp_count(t, F.lit("_{3,}")), F.regexp_count(t, F.lit(FORM_WORD))
-    under = F.length(F.regexp_replace(t, "[^_]", "")) / F.greatest(F.lit(1), s["visible"]).cast("double")
-    form = ((blanks >= 5) & (words >= 3)) | ((blanks >= 12) & (under > 0.12))
+def assess(df: DataFrame, body: str) -> DataFrame:
+    """df with quality, flags, signal_ratio and visible of a cleaned body. The text without white space is exploded from an array of
+    one, so that it is made once for a row; what is counted in it is shared by generated code."""
+    x = df.withColumn("__t", F.explode(F.array(F.regexp_replace(F.coalesce(body, F.lit("")), SPACE, ""))))
+    t = F.coalesce(F.col(body), F.lit(""))
+    s = signal_stats(body, F.col("__t"))
+    f = {"blanks": F.regexp_count(t, F.lit("_{3,}")), "words": F.regexp_count(t, F.lit(FORM_WORD)), "under": F.length(F.regexp_replace("__t", "[^_]", ""))}
+    under = f["under"] / F.greatest(F.lit(1), s["visible"]).cast("double")
+    form = ((f["blanks"] >= 5) & (f["words"] >= 3)) | ((f["blanks"] >= 12) & (under > 0.12))
     garbled = (s["visible"] >= 1000) & ~form & ((s["weird_ratio"] > 0.12) | ((s["signal_ratio"] < 0.55) & (s["punctuation_ratio"] > 0.45)) | ((s["signal_ratio"] < 0.6) & (s["cjk_ratio"] < 0.05) & (s["mojibake_marker_ratio"] > 0.008)))
     failed = (~form & (s["cjk"] == 0) & (s["visible"] > 300) & (s["signal_ratio"] < 0.6)) | garbled
     flags = F.array_compact(
@@ -64,11 +66,14 @@ def assess(body: Column) -> Column:
             F.when(t.rlike(BAD_GLYPHS), "bad_glyph_residue"),
         )
     )
-    poor = F.arrays_overlap(flags, F.array(*[F.lit(x) for x in ("low_text_signal", "likely_ocr_failure", "noisy_ocr_lines")]))
-    return F.struct(F.when(poor, "poor").when(F.size(flags) > 0, "warning").otherwise("ok").alias("quality"), flags.alias("flags"), F.round(s["signal_ratio"], 3).alias("signal_ratio"), s["visible"].alias("visible"))
+    x = x.withColumn("flags", flags)
+    poor = F.arrays_overlap("flags", F.array(*[F.lit(v) for v in ("low_text_signal", "likely_ocr_failure", "noisy_ocr_lines")]))
+    return x.withColumns({"quality": F.when(poor, "poor").when(F.size("flags") > 0, "warning").otherwise("ok"), "signal_ratio": F.round(s["signal_ratio"], 3), "visible": s["visible"]}).drop("__t")
 
 
 _LINES = [(re.compile(p, f), to) for p, f, to in ((CONTACT.replace("(?i)", ""), re.I, ""), (JOURNAL.replace("(?i)", ""), re.I, " "), (DOI.replace("(?i)", ""), re.I, " "), (PII.replace("(?i)", ""), re.I, " "), (EMAIL.replace("(?i)", ""), re.I, " "))]
+#: What a line must hold for the pattern of the same place to match.
+_MARKS = (("correspond", "contact"), ("中华",), ("doi",), ("pii",), ("@",))
 _CJK_LINE = re.compile(r"[一-鿿]")
 _ENDS = re.compile(r"[。！？!?；;：:]$")
 
@@ -87,11 +92,13 @@ def clean_body(text: str | None) -> str | None:
     def lines(x: str) -> list[str]:
         out = []
         for line in x.split("\n"):
-            if re.match(PAGE_LINE, line):
+            if "<!--" in line and re.match(PAGE_LINE, line):
                 continue
             if line.strip():
-                for p, to in _LINES:
-                    line = p.sub(to, line)
+                low = line.lower()
+                for mark, (p, to) in zip(_MARKS, _LINES):
+                    if any(m in low for m in mark):
+                        line = p.sub(to, line)
                 line = re.sub(r"[ \t]+", " ", line).rstrip()
             if out and line and out[-1] and _CJK_LINE.search(out[-1][-1:]) and _CJK_LINE.match(line) and not _ENDS.search(out[-1]) and not out[-1].startswith(("#", "|", "-")):
                 out[-1] += line

@@ -22,13 +22,15 @@ K1, B = 1.2, 0.75
 
 def term_frequencies(df: DataFrame, text: Column | str, terms: Sequence[str]) -> DataFrame:
     """df with dl (tokens) and tf (an array, by term)."""
-    one = df.withColumn("__tokens", tokens(text))
+    # each exploded from an array of one: else the optimizer would tokenise, or count, anew for each use
+    one = df.withColumn("__tokens", F.explode(F.array(tokens(text))))
 
     def times(t: str) -> Column:
         return F.size(F.filter("__tokens", lambda x: x == t))
 
-    tf = F.array(*map(times, terms))
-    return one.withColumns({"dl": F.size("__tokens"), "tf": tf}).drop("__tokens")
+    counted = F.struct(F.size("__tokens").alias("dl"), F.array(*map(times, terms)).alias("tf"))
+    x = one.withColumn("__counted", F.explode(F.array(counted)))
+    return x.withColumns({"dl": F.col("__counted.dl"), "tf": F.col("__counted.tf")}).drop("__tokens", "__counted")
 
 
 def bm25(df: DataFrame, query: str, text: Column | str, id_col: str, k: int | None = 50, keep: Sequence[str] = (), only: Column | None = None) -> DataFrame:
@@ -98,7 +100,7 @@ def cover_density(df: DataFrame, query: str, fields: Sequence[tuple[str, str]],
     """Rank by cover density (Clarke, Cormack and Tudhope, 2000) over the fields one after another, weighted by their class. The match
     is decided in the JVM; only matching rows reach the scorer."""
     all_tokens = F.concat(*[tokens(c) for c, _ in fields])
-    rows = df.withColumn("__ts", all_tokens).filter(matches(F.col("__ts"), query))
+    rows = df.withColumn("__ts", F.explode(F.array(all_tokens))).filter(matches(F.col("__ts"), query))
     wanted = sorted({w for a in parse_query(query) for ws, absent in a if not absent for w in ws})
     weights = F.concat(*[F.array_repeat(F.lit(WEIGHTS[c]), F.size(tokens(f))) for f, c in fields])
 

@@ -53,9 +53,10 @@ DOCS_SQL = """docs AS (SELECT doc_key AS doc_id, r.title AS title, r.abstract AS
   FROM (SELECT doc_key, arg_max({'title': title, 'abstract': abstract, 'publication_date': publication_date, 'source_institution': source_institution, 'clinical_department': clinical_department, 'document_kind': document_kind}, (updated_at, doc_id)) AS r FROM documents GROUP BY doc_key))"""
 
 
-def _chunks(s: SparkSession, d: str) -> DataFrame:
-    """Chunks, once each: rows delivered again differ only in when."""
-    return ingest.latest(table(s, d, "chunks"), ["chunk_id"], "ingested_at")
+def _chunks(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Chunks with the named columns, once each: rows delivered again differ only in when."""
+    need = list(dict.fromkeys(["chunk_id", "ingested_at", *columns])) if columns else []
+    return ingest.latest(spread(table(s, d, "chunks", *need)), ["chunk_id"], "ingested_at")
 
 
 CHUNKS_SQL = "ch AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, ingested_at DESC)"
@@ -95,7 +96,7 @@ def _(s, d):
 
 @query("join_chunk_document", f"WITH {DOCS_SQL}, {CHUNKS_SQL} SELECT docs.document_kind, ch.chunk_type, count(*) AS n, sum(ch.chunk_index) AS s FROM ch JOIN docs USING (doc_id) GROUP BY ALL")
 def _(s, d):
-    x = joins.with_document(_chunks(s, d).select("chunk_id", "doc_id", "chunk_type", "chunk_index"), _docs(s, d), ["document_kind"])
+    x = joins.with_document(_chunks(s, d, "chunk_id", "doc_id", "chunk_type", "chunk_index").select("chunk_id", "doc_id", "chunk_type", "chunk_index"), _docs(s, d), ["document_kind"])
     return x.groupBy("document_kind", "chunk_type").agg(F.count("*").alias("n"), F.sum("chunk_index").alias("s"))
 
 
@@ -114,7 +115,7 @@ def _(s, d):
 SELECT ch.chunk_id, coalesce(x.h, ch.section_path[-1]) AS heading, x.a AS char_start, x.b AS char_end, CASE WHEN x.a IS NOT NULL AND x.b IS NOT NULL THEN 'section' END AS char_span_kind
 FROM ch LEFT JOIN sec ON ch.doc_id = sec.doc_id AND ch.section_path = sec.section_path""")
 def _(s, d):
-    x = joins.section_context(_chunks(s, d).select("chunk_id", "doc_id", "section_path"), table(s, d, "sections"))
+    x = joins.section_context(_chunks(s, d, "chunk_id", "doc_id", "section_path").select("chunk_id", "doc_id", "section_path"), table(s, d, "sections"))
     return x.select("chunk_id", "heading", "char_start", "char_end", "char_span_kind")
 
 
@@ -127,7 +128,7 @@ def _(s, d):
 @query("inherit_metadata", f"""WITH {DOCS_SQL}, {CHUNKS_SQL} SELECT ch.chunk_id, coalesce(nullif(ch.document_kind, ''), nullif(docs.document_kind, ''), 'guideline') AS document_kind, coalesce(nullif(ch.publication_date, ''), nullif(docs.publication_date, ''), 'unknown') AS publication_date
 FROM ch LEFT JOIN docs USING (doc_id)""")
 def _(s, d):
-    x = joins.inherit(_chunks(s, d).select("chunk_id", "doc_id", "document_kind", "publication_date"), _docs(s, d), {"document_kind": "guideline", "publication_date": "unknown"})
+    x = joins.inherit(_chunks(s, d, "chunk_id", "doc_id", "document_kind", "publication_date").select("chunk_id", "doc_id", "document_kind", "publication_date"), _docs(s, d), {"document_kind": "guideline", "publication_date": "unknown"})
     return x.select("chunk_id", "document_kind", "publication_date")
 
 
@@ -135,7 +136,7 @@ def _(s, d):
 FROM ch JOIN docs USING (doc_id) GROUP BY ALL""")
 def _(s, d):
     docs = _docs(s, d)
-    x = joins.sync_metadata(_chunks(s, d).select("chunk_id", "doc_id", "title", "clinical_department"), docs, ["title", "clinical_department"])
+    x = joins.sync_metadata(_chunks(s, d, "chunk_id", "doc_id", "title", "clinical_department").select("chunk_id", "doc_id", "title", "clinical_department"), docs, ["title", "clinical_department"])
     return x.join(docs.select("doc_id", "source_institution"), "doc_id").groupBy("source_institution").agg(F.count("*").alias("n"), F.count_if("changed").alias("n_changed"))
 
 
@@ -320,13 +321,13 @@ BM25_TERMS = ["telephone", "follow-up", "for", "chronic", "heart", "failure"]
 
 @query("bm25_topk", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
 def _(s, d):
-    return search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50).select("chunk_id", "score")
+    return search.bm25(_chunks(s, d, "title", "content"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50).select("chunk_id", "score")
 
 
 @query("bm25_filtered", f"WITH {CHUNKS_SQL}, {_bm25_sql('''document_kind = 'guideline' AND NOT is_reference_section''', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
 def _(s, d):
     only = F.coalesce((F.col("document_kind") == "guideline") & ~F.col("is_reference_section"), F.lit(False))
-    return search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, only=only).select("chunk_id", "score")
+    return search.bm25(_chunks(s, d, "title", "content", "document_kind", "is_reference_section"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, only=only).select("chunk_id", "score")
 
 
 _BOOST_SQL = "CASE " + " ".join(f"WHEN chunk_type = '{t}' THEN {v}::DOUBLE" for t, v in BOOSTS.items()) + " ELSE 1.0 END"
@@ -334,20 +335,20 @@ _BOOST_SQL = "CASE " + " ".join(f"WHEN chunk_type = '{t}' THEN {v}::DOUBLE" for
 
 @query("bm25_type_boost", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS, extra=', chunk_type')} SELECT chunk_id, round(score * {_BOOST_SQL}, 6) AS score FROM hits ORDER BY score DESC, chunk_id LIMIT 10")
 def _(s, d):
-    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", None, keep=["chunk_type"])
+    x = search.bm25(_chunks(s, d, "title", "content", "chunk_type"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", None, keep=["chunk_type"])
     return fusion.boosted(x, "chunk_type", BOOSTS, 10, "chunk_id").select("chunk_id", "score")
 
 
 @query("overfetch_dedup", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', doc_id')} SELECT doc_id, max(score) AS score FROM hits GROUP BY doc_id ORDER BY score DESC, arg_min(chunk_id, (-score, chunk_id)) LIMIT 20""")
 def _(s, d):
-    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["doc_id"])
+    x = search.bm25(_chunks(s, d, "title", "content", "doc_id"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["doc_id"])
     return fusion.unique_documents(x.select("doc_id", "score", F.col("chunk_id").alias("id")), 20).select("doc_id", "score")
 
 
 @query("quota_route", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 200, BM25_TERMS, extra=", CASE WHEN len(list_distinct(list_filter(string_split(coalesce(clinical_department, ''), '|'), lambda x: trim(x) != ''))) > 1 THEN 'compositive' ELSE 'single' END AS scope")},
 q AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY score DESC, chunk_id) <= CASE scope WHEN 'single' THEN 91 ELSE 9 END AS i FROM hits), z AS (SELECT *, row_number() OVER (ORDER BY i DESC, score DESC, chunk_id) AS pos FROM q) SELECT chunk_id, scope, score FROM z WHERE pos <= 100""")
 def _(s, d):
-    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 200, keep=["clinical_department"])
+    x = search.bm25(_chunks(s, d, "title", "content", "clinical_department"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 200, keep=["clinical_department"])
     x = x.withColumn("scope", R.department_fields("clinical_department")["scope"])
     return fusion.quota(x, "scope", [F.desc("score"), F.col("chunk_id")], {"single": 91, "compositive": 9}, 100).select("chunk_id", "scope", "score")
 
@@ -355,7 +356,7 @@ def _(s, d):
 @query("fallback_union", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', document_kind')}, g AS (SELECT chunk_id, score, false AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'consensus'),
 c AS (SELECT chunk_id, score, true AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'guideline') SELECT chunk_id, score, is_fallback FROM g WHERE r <= 25 UNION ALL SELECT chunk_id, score, is_fallback FROM c WHERE r <= 25 - (SELECT count(*) FROM g WHERE r <= 25)""")
 def _(s, d):
-    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["document_kind"])
+    x = search.bm25(_chunks(s, d, "title", "content", "document_kind"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["document_kind"])
     a, b = (x.filter(F.col("document_kind") == k).select("chunk_id", "score") for k in ("consensus", "guideline"))
     return fusion.fallback(a, b, [F.desc("score"), F.col("chunk_id")], 25, "chunk_id").select("chunk_id", "score", "is_fallback")
 
@@ -382,7 +383,7 @@ SELECT chunk_id, round(score * (1 + CASE WHEN contains(c, '{QUERY}') THEN 0.36 E
 * greatest(0.05, 1 - least(0.9, CASE WHEN is_reference_section THEN 0.75 ELSE 0 END + CASE WHEN regexp_matches(pa, 'references?|bibliography|参考文献') THEN 0.35 ELSE 0 END)), 6) AS score FROM o ORDER BY score DESC, token_count DESC, chunk_id LIMIT 20""")
 def _(s, d):
     keep = ["title", "content", "chunk_type", "is_reference_section", "token_count", "section_path"]
-    x = search.bm25(spread(_chunks(s, d)), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, keep=keep)
+    x = search.bm25(_chunks(s, d, *keep), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, keep=keep)
     return rerank.rule_chunks(x, QUERY, 20).select("chunk_id", "score")
 
 
@@ -417,17 +418,17 @@ def _(s, d):
 
 @query("prev_next_links", f"WITH {CHUNKS_SQL} SELECT chunk_id, lag(chunk_id) OVER w AS prev_id, lead(chunk_id) OVER w AS next_id FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)")
 def _(s, d):
-    return chunking.neighbours(_chunks(s, d).select("chunk_id", "doc_id", "chunk_index"), "doc_id", "chunk_index", "chunk_id").select("chunk_id", "prev_id", "next_id")
+    return chunking.neighbours(_chunks(s, d, "chunk_id", "doc_id", "chunk_index").select("chunk_id", "doc_id", "chunk_index"), "doc_id", "chunk_index", "chunk_id").select("chunk_id", "prev_id", "next_id")
 
 
 @query("same_section_links", f"WITH {CHUNKS_SQL}, p AS (SELECT chunk_id, doc_id, section_path, row_number() OVER (PARTITION BY doc_id, section_path ORDER BY chunk_index, chunk_id) AS i FROM ch) SELECT a.chunk_id AS source, b.chunk_id AS target FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.section_path = b.section_path AND b.i BETWEEN a.i + 1 AND a.i + 5")
 def _(s, d):
-    return chunking.same_section_links(_chunks(s, d).select("chunk_id", "doc_id", "section_path", "chunk_index"), ["doc_id", "section_path"], "chunk_index", "chunk_id")
+    return chunking.same_section_links(_chunks(s, d, "chunk_id", "doc_id", "section_path", "chunk_index").select("chunk_id", "doc_id", "section_path", "chunk_index"), ["doc_id", "section_path"], "chunk_index", "chunk_id")
 
 
 @query("heading_islands", f"WITH {CHUNKS_SQL}, c AS (SELECT chunk_id, doc_id, chunk_index, CASE WHEN section_path = lag(section_path) OVER w THEN 0 ELSE 1 END AS c FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)) SELECT chunk_id, sum(c) OVER (PARTITION BY doc_id ORDER BY chunk_index, chunk_id)::BIGINT AS island FROM c")
 def _(s, d):
-    x = _chunks(s, d).select("chunk_id", "doc_id", "chunk_index", F.array_join("section_path", " > ").alias("path"))
+    x = _chunks(s, d, "chunk_id", "doc_id", "chunk_index", "section_path").select("chunk_id", "doc_id", "chunk_index", F.array_join("section_path", " > ").alias("path"))
     return chunking.islands(x.withColumn("o", F.struct("chunk_index", "chunk_id")), "doc_id", "o", "path").select("chunk_id", "island")
 
 
@@ -457,13 +458,13 @@ def _(s, d):
 @query("semantic_chunks")
 def _(s, d):
     x = ingest.latest(table(s, d, "sections"), ["section_id"], "ingested_at")
-    return chunking.chunk_sections(spread(x), "section_id", "doc_id", "section_index")
+    return chunking.chunk_sections(x, "section_id", "doc_id", "section_index")
 
 
 @query("clean_bodies")
 def _(s, d):
     x = spread(table(s, d, "documents", "doc_id", "content_md")).select("doc_id", cleaning.cleaned("content_md").alias("body"))
-    return x.select("doc_id", "body", cleaning.assess(F.col("body")).alias("a")).select("doc_id", "body", "a.*")
+    return cleaning.assess(x, "body")
 
 
 @query("document_cards_built")
@@ -489,7 +490,7 @@ def _(s, d):
 
 @query("cover_density_topk")
 def _(s, d):
-    return search.cover_density(spread(_chunks(s, d)), '"heart failure" telephone or "home monitoring" -newborns', [("title", "A"), ("chunk_type", "B"), ("content", "C")], "chunk_id", 50)
+    return search.cover_density(_chunks(s, d), '"heart failure" telephone or "home monitoring" -newborns', [("title", "A"), ("chunk_type", "B"), ("content", "C")], "chunk_id", 50)
 
 
 @query("hashing_vectors")

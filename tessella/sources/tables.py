@@ -12,6 +12,7 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
 
 def spread(df: DataFrame, least: int | None = None) -> DataFrame:
     """For CPU-bound operators: a table that comes as fewer splits than there are cores is redistributed; one with
-    enough splits, as any large table has, is left alone and isn't shuffled."""
+    enough splits, as any large table has, is left alone and isn't shuffled. Only for scans: asking a plan with a shuffle
+    for its partitions would run it."""
     cores = least or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
