@@ -181,6 +181,24 @@ def hashing_encoder(x: Column | str, size: int = 384) -> Column:
     return _encode(_c(x), F.lit(size))
 
 
+def hashing_similarity(x: Column | str, query: str, size: int = 384) -> Column:
+    """The cosine of a text's hashed vector and the query's, without the vector ever leaving Python."""
+    q = hash_vector(query, size)
+
+    def score(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            sums: dict[int, float] = {}
+            for token in _TOKEN.findall((t or "").lower()):
+                at, s = _place(token)
+                sums[at % size] = sums.get(at % size, 0.0) + s
+            n = math.sqrt(sum(v * v for v in sums.values()))
+            out.append(sum(q[b] * v for b, v in sums.items()) / n if n else 0.0)
+        return pd.Series(out, dtype="float64")
+
+    return F.pandas_udf(score, "double")(_c(x))
+
+
 def hash_vector(text: str, size: int = 384) -> list[float]:
     """The same of one text, for a query on the driver."""
     out = [0.0] * size

@@ -133,12 +133,17 @@ def cover_density(df: DataFrame, query: str, fields: Sequence[tuple[str, str]],
 # -- dense
 
 
+def scored_topk(df: DataFrame, score: Column, id_col: str, k: int | None = 50, keep: Sequence[str] = ()) -> DataFrame:
+    """By a score that is computed in the scan, then the id."""
+    out = df.select(id_col, *keep, F.round(score, 6).alias("score")).orderBy(F.desc("score"), id_col)
+    return out.limit(k) if k else out
+
+
 def dense_topk(df: DataFrame, query: Sequence[float], vector: str, id_col: str, k: int | None = 50, keep: Sequence[str] = (), unit: bool = False) -> DataFrame:
     """Exact cosine against all rows; unit vectors need only their product. The query is a literal, so that nothing is joined."""
     q = F.array(*[F.lit(float(x)) for x in query])
     s = dot(F.col(vector), q) if unit else cosine(F.col(vector), q)
-    out = df.filter(F.size(vector) == len(query)).select(id_col, *keep, F.round(s, 6).alias("score")).orderBy(F.desc("score"), id_col)
-    return out.limit(k) if k else out
+    return scored_topk(df.filter(F.size(vector) == len(query)), s, id_col, k, keep)
 
 
 def check_dimension(df: DataFrame, vector: str, size: int) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.records import department_fields, hash_vector, hashing_encoder
+from tessella.functions.records import department_fields, hashing_similarity
 from tessella.operators import fusion, rerank, search
 from tessella.operators.filters import search_filter, without_references
 from tessella.operators.joins import section_context
@@ -39,9 +39,8 @@ def lexical_channels(request: Request, cards: DataFrame, views: DataFrame, k: in
 
 def dense_channels(request: Request, cards: DataFrame, views: DataFrame, k: int, vectors: bool = True) -> list[DataFrame]:
     """The same by vectors; the offline encoder is applied in the scan."""
-    q = hash_vector(request.query)
-    a = search.dense_topk(request.filtered(cards).withColumn("vec", hashing_encoder("card_text")), q, "vec", "doc_id", k, unit=True)
-    v = search.dense_topk(request.filtered(views).withColumn("vec", hashing_encoder("text")), q, "vec", "view_id", max(3 * k, k), keep=["doc_id"], unit=True)
+    a = search.scored_topk(request.filtered(cards), hashing_similarity("card_text", request.query), "doc_id", k)
+    v = search.scored_topk(request.filtered(views), hashing_similarity("text", request.query), "view_id", max(3 * k, k), keep=["doc_id"])
     best = fusion.unique_documents(v.select("doc_id", "score", F.col("view_id").alias("id")), k)
     return [fusion.ranked(a, "doc_id", "card_dense"), fusion.ranked(best.select("doc_id", "score"), "doc_id", "view_dense")]
 
@@ -69,7 +68,7 @@ def retrieve_chunks(request: Request, chunks: DataFrame, sections: DataFrame, *,
     keep: Sequence[str] = ()
     ranks = fusion.ranked(search.bm25(base, request.query, F.concat_ws(" ", "title", "content"), "chunk_id", recall, keep), "chunk_id", "chunk_text")
     if dense:
-        d = search.dense_topk(base.withColumn("vec", hashing_encoder("content")), hash_vector(request.query), "vec", "chunk_id", recall, unit=True)
+        d = search.scored_topk(base, hashing_similarity("content", request.query), "chunk_id", recall)
         ranks = ranks.unionByName(fusion.ranked(d, "chunk_id", "chunk_dense"))
     x = fusion.rrf(ranks).withColumnRenamed("id", "chunk_id").orderBy(F.desc("score"), "chunk_id").limit(candidates).join(chunks.dropDuplicates(["chunk_id"]), "chunk_id")
     out = rerank.rule_chunks(x, request.query, min(request.topk, fusion.CHUNK_CAP))

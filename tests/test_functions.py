@@ -75,6 +75,9 @@ def test_hashing(spark):
     assert v == pytest.approx(R.hash_vector("heart failure heart"))
     assert sum(x * x for x in v) == pytest.approx(1)
     assert not any(one(spark, None, R.hashing_encoder))
+    q = R.hash_vector("failure of the heart")
+    assert one(spark, "heart failure heart", lambda c: R.hashing_similarity(c, "failure of the heart")) == pytest.approx(sum(a * b for a, b in zip(v, q)))
+    assert one(spark, None, lambda c: R.hashing_similarity(c, "x")) == 0.0
     assert one(spark, "Société Générale – 2", lambda c: R.slug(c)) == "societe_generale_2"
 
 
