@@ -390,9 +390,6 @@ def _(s, d):
 # -- classification
 
 
-_LABEL_SQL = ", ".join(f"({i}, '{a}', {b!r})" for i, (a, b) in enumerate([]))
-
-
 @query("label_scores", """SELECT doc_id, label, sum(s) AS score FROM (SELECT doc_id, r.label, CASE WHEN CASE WHEN r.k ~ '[\\x{4e00}-\\x{9fff}]' THEN contains(t, r.k) ELSE regexp_matches(' ' || t || ' ', '[^a-z0-9]' || r.k || '[^a-z0-9]') END THEN r.bonus ELSE 0 END + CASE WHEN CASE WHEN r.k ~ '[\\x{4e00}-\\x{9fff}]' THEN contains(b, r.k) ELSE regexp_matches(' ' || b || ' ', '[^a-z0-9]' || r.k || '[^a-z0-9]') END THEN r.weight ELSE 0 END AS s
 FROM (SELECT doc_id, lower(coalesce(title, '')) AS t, lower(coalesce(text, '')) AS b FROM documents), (VALUES %s) r(label, k, bonus, weight)) GROUP BY ALL HAVING sum(s) > 0""".replace("%s", ", ".join(f"('{a}', '{k}', {b}.0::DOUBLE, {w}.0::DOUBLE)" for a, k, b, w in DEPARTMENTS)))
 def _(s, d):
