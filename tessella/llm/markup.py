@@ -2,8 +2,8 @@
 
 The standard library's streaming HTML parser gives the events; signs that only resemble a tag or an entity are shielded
 from it first, by the names of HTML's elements and entities. Each source line has a text-to-tag ratio; smoothed with a
-Gaussian, the ratios are clustered in two around a threshold, and in pages (many tags) only the lines of content regions
-are kept. Wiki and LaTeX constructs are rewritten by a scanner. Headings, lists, tables and code blocks come out as
+Gaussian, the ratios are clustered in two around a threshold, in texts of any size. Outside content regions, lines go that
+hold nothing but links; lines of tables, lists, code, formulas, headings and prose never do. Wiki and LaTeX constructs are rewritten by a scanner. Headings, lists, tables and code blocks come out as
 Markdown, formulas as $...$; scripts, styles, comments, citations and reference marks go.
 
 Defined results: null stays null, and text without markup comes out unchanged, whatever its length. Fenced and inline
@@ -72,6 +72,7 @@ def kinds(text: str | None) -> set[str]:
 
 
 _SUP, _SUB = str.maketrans("0123456789+-", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻"), str.maketrans("0123456789+-", "₀₁₂₃₄₅₆₇₈₉₊₋")
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BREAK = {"p", "div", "ul", "ol", "table", "section", "article", "blockquote", "dl", "form", "figure"}
 
 
@@ -88,6 +89,11 @@ class _Markdown(HTMLParser):
         self.row: list[str] | None = None
         self.rows = 0
         self.small: str | None = None
+        self.link = self.nav = False
+        self.head = 0
+        self.linked: dict[int, int] = {}
+        self.held: set[int] = set()  # lines of tables, lists, code, formulas and headings
+        self.depth: dict[int, int] = {}  # of each line, tags opened less tags closed
 
     def write(self, x: str) -> None:
         if self.small:
@@ -104,8 +110,20 @@ class _Markdown(HTMLParser):
             tail = len(self.out[-1]) - len(self.out[-1].rstrip("\n")) if self.out[-1].strip("\n") else n
             self.out.append("\n" * max(0, n - tail))
 
+    def count(self, tag: str, step: int) -> None:
+        line = self.getpos()[0]
+        self.tags[line] = self.tags.get(line, 0) + 1
+        if tag not in _VOID:
+            self.depth[line] = self.depth.get(line, 0) + step
+        if tag == "a" or tag in _BREAK or tag in ("li", "tr", "td", "th"):  # a link left open ends with its block
+            self.link = tag == "a" and step > 0
+        elif tag == "nav":
+            self.nav = step > 0
+        elif re.fullmatch("h[1-6]", tag):
+            self.head = max(0, self.head + step)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.tags[self.getpos()[0]] = self.tags.get(self.getpos()[0], 0) + 1
+        self.count(tag, 1)
         if tag in ("script", "style", "noscript", "template"):
             self.skip += 1
         elif tag == "pre":
@@ -145,7 +163,7 @@ class _Markdown(HTMLParser):
         self.row = None
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags[self.getpos()[0]] = self.tags.get(self.getpos()[0], 0) + 1
+        self.count(tag, -1)
         if tag in ("script", "style", "noscript", "template"):
             self.skip = max(0, self.skip - 1)
         elif tag == "pre" and self.pre:
@@ -173,7 +191,12 @@ class _Markdown(HTMLParser):
         if not self.skip:
             line = self.getpos()[0]
             for i, part in enumerate(data.split("\n")):
-                self.text[line + i] = self.text.get(line + i, 0) + len(part.strip())
+                n = len(part.strip())
+                self.text[line + i] = self.text.get(line + i, 0) + n
+                if self.link or self.nav:
+                    self.linked[line + i] = self.linked.get(line + i, 0) + n
+                if self.row is not None or self.pre or self.head or self.lists and not self.nav or any(c in part for c in "$\\`|\0"):
+                    self.held.add(line + i)
             self.write(data)
 
     def handle_entityref(self, name: str) -> None:
@@ -183,10 +206,6 @@ class _Markdown(HTMLParser):
         self.handle_data(html.unescape(f"&#{name};").replace("\xa0", " "))
 
 
-#: A text with as many tags is a page, of which only content regions are kept.
-PAGE_TAGS = 200
-
-
 def content_lines(text: dict[int, int], tags: dict[int, int], sigma: float = 1.0) -> np.ndarray:
     """Which lines belong to content: text-to-tag ratios, smoothed, and split in two clusters around a threshold."""
     n = max([0, *text, *tags])
@@ -227,9 +246,10 @@ def _html(text: str) -> str:
         return p
 
     p = parsed(text)
-    if sum(p.tags.values()) >= PAGE_TAGS:
+    if links := {i for i, n in p.linked.items() if n and n == p.text[i] and i not in p.held and not p.depth.get(i)}:
         keep = content_lines(p.text, p.tags)
-        p = parsed("\n".join(x for i, x in enumerate(text.split("\n")) if i >= len(keep) or keep[i]))
+        if drop := {i for i in links if not keep[i - 1]}:
+            p = parsed("\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop))
     return re.sub("\0page (\\d+)\0", r"<!-- page: \1 -->", "".join(p.out))
 
 

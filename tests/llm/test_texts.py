@@ -113,6 +113,23 @@ def test_only_content_of_a_page():
     assert out.count("real content") == 48 and out.count("- m") < 10
 
 
+_SENTENCE = "A long sentence of real content stands here. " * 4
+
+
+def test_links_go_from_a_short_page():
+    out = markup.clean("\n".join(f'<div><a href="/{i}">m{i}</a></div>' for i in range(12)) + f"\n<p>{_SENTENCE}</p>\n<p>{_SENTENCE}</p>\n<p>Give 5 mg.</p>")
+    assert out.count("real content") == 8 and "Give 5 mg." in out and "m0" not in out and "m6" not in out
+
+
+@pytest.mark.parametrize("n", [3, 300])
+def test_no_size_drops_structure(n):
+    rows = "\n".join(f'<tr><td>r{i}x</td><td><a href="/{i}">{i}</a></td></tr>' for i in range(n))
+    items = "\n".join(f'<li><a href="/{i}">i{i}x</a></li>' for i in range(n))
+    out = markup.clean(f"<p>{_SENTENCE}</p>\n" * 5 + f"<h2><a>Dose</a></h2>\n<table>\n{rows}\n</table>\n<ul>\n{items}\n</ul>\n<pre>\nk = 1\n</pre>\n<p><a>$x^{{2}}$</a></p>\n<p>Short.</p>\n" + f"<p>{_SENTENCE}</p>\n" * 5)
+    assert all(f"| r{i}x | {i} |" in out and f"- i{i}x" in out for i in range(n))
+    assert "## Dose" in out and "k = 1" in out and "$x^{2}$" in out and "Short." in out and out.count("real content") == 40
+
+
 def test_markup_column(spark):
     d = spark.createDataFrame([("a", None, 1), ("b", "<b>x", 1), ("b", "<b>x", 1), ("c", "y" * 500_000, 1)], "k string, content string, cleaned int")
     assert sorted((r.k, r.cleaned) for r in markup.clean_column(d, "content", "k", only_marked=True).collect()) == [("b", "x"), ("b", "x")]
