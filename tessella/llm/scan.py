@@ -7,8 +7,8 @@ channel: each word has candidates, made by undoing confusions that scanners make
 confusion; the probability of a word after the word before it comes from counts over the whole corpus; the best path
 through each line's candidates is found by Viterbi. Chinese is decoded the same way over characters.
 
-Counts are kept in hashed tables of fixed size. A noisy form is itself a rare word of the corpus, so a candidate is only
-taken that is RATIO times as frequent.
+Counts are kept in hashed tables of fixed size. A noisy form is itself a word of the corpus, so a candidate is only taken
+that is RATIO times as frequent; no count but that ratio decides, whatever the size of the corpus.
 
 Defined results: null stays null; empty texts and texts without noise come out as they are, with zero edits; code, tables,
 headings and markup lines are left alone; line ends CRLF are read as LF, which alone is no edit. Texts are taken whole.
@@ -32,7 +32,7 @@ from tessella.sources.tables import spread, table
 
 #: Buckets of each of two hashed tables of words, of the one of word pairs: the bound of what is collected and broadcast.
 WORDS, PAIRS = 1 << 20, 1 << 20
-RATIO, LEAST = 20.0, 5
+RATIO = 20.0
 #: Confusions of scanners, misread -> true, with their share of all characters of that kind that are misread.
 CONFUSIONS = {"c": ("e",), "!": ("i", "l"), "@": ("a",), "0": ("o",), "5": ("s",), "|": ("l", "i"), "1": ("l", "i"), "cl": ("d",), "9": ("g",), "li": ("h",), "u": ("ti",), "rn": ("m",), "m": ("in", "rn"), "h": ("li",), "vv": ("w",), "^": ("",), "~": ("",), "■": ("",), "•": ("",), "¬": ("",), "\xad": ("",), "$": ("s",), "6": ("b",), "8": ("B",), "ii": ("n",), "nn": ("m",), "tl": ("d",)}
 HAN = {"ꎬ": "，", "ꎮ": "。", "旳": "的", "耆": "者", "里": "量", "惠": "患", "荆": "剂", "曰": "日", "冶": "治", "庁": "疗", "夭": "天", "侧": "测", "義": "议", "捡": "检", "入": "人", "太": "大", "未": "末", "己": "已", "土": "士", "干": "千", "问": "间"}
@@ -80,6 +80,7 @@ class WordModel:
     def __post_init__(self) -> None:
         self.known: dict[str, float] = {}
         self.total = float(self.one.sum()) + 1.0
+        self.most = float(self.one.max(initial=0.0))  # no word counts more
 
     def count(self, w: str) -> float:
         if (n := self.known.get(w)) is None:
@@ -149,7 +150,7 @@ class Repair:
         low = token.lower()
         parts = _WORD.findall(low)
         own = min((self.words.count(p) for p in parts), default=0.0) if re.fullmatch(r"[^\W\d_]+(?:[-'’‐‑·.][^\W\d_]+)*", low) else 0.0
-        if any(c.isalpha() for c in low) and len(low) >= 3 and own < 1000 and not _MARKUP.search(token) and not any("㐀" <= c for c in low):
+        if any(c.isalpha() for c in low) and len(low) >= 3 and RATIO * own <= self.words.most and not _MARKUP.search(token) and not any("㐀" <= c for c in low):
             seen, found = {low}, {}
             layer = [(low, 0.0)]
             for depth in range(3 if len(low) <= 24 else 1):
@@ -167,7 +168,7 @@ class Repair:
                                     if ps and re.fullmatch(r"[^\W\d_]+(?:[-'’‐‑][^\W\d_]+)*", y):
                                         # of a compound only the changed parts speak
                                         n = min(self.words.count(q) for q in ps)
-                                        if n >= LEAST and n >= RATIO * max(1.0, own) and max(map(len, ps)) >= 3:
+                                        if n >= RATIO * max(1.0, own) and max(map(len, ps)) >= 3:
                                             found[y] = max(found.get(y, -99.0), p + SHARE)
                             at = x.find(bad, at + 1)
                 layer = new
@@ -389,7 +390,7 @@ class Repair:
 
     def closed(self, m: re.Match[str], edits: Counter) -> str:
         word = m[0].replace(" ", "")
-        if len(word) >= 3 and self.words.count(word.lower()) >= LEAST:
+        if len(word) >= 3 and self.words.count(word.lower()) > 0:
             edits["spaced"] += 1
             return word
         return m[0]

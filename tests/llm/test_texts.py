@@ -159,6 +159,17 @@ def test_no_scan_noise(repair, text):
     assert got == text and not edits
 
 
+@pytest.mark.parametrize("size", [1, 3, 50, 5000])
+def test_scan_errors_at_any_size(pairs, size):
+    counts = {"after": 23_661, "aftcr": 46, "every": 8_519, "evcry": 15, "house": 9_000, "honse": 900, "thoughtfulness": 1}
+    one, two = np.zeros(scan.WORDS, np.float32), np.zeros(1 << 20, np.float32)
+    for w, n in counts.items():
+        a, b = scan._hash(w)
+        one[a], two[b] = n * size, n * size
+    r = scan.Repair(scan.WordModel(one, two, np.zeros(scan.PAIRS, np.float32)), pairs)
+    assert r.repair("Aftcr treatment, evcry honse with t h o u g h t f u l n e s s here.")[0] == "After treatment, every honse with thoughtfulness here."
+
+
 def test_scan_column(spark, frame, pairs):
     d = spark.createDataFrame([("a", None, "t", 1), ("b", "Page 3", None, 1), ("b", "Page 3", None, 1), ("c", "clean text " * 9000, "t", 1)], "k string, content string, title string, edits int")
     got = scan.repair_column(d, "content", ("k",), ("title",), scan.word_model(frame, "text"), pairs, only_noisy=True).collect()
