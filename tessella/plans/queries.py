@@ -495,6 +495,27 @@ def _(s, d):
     return spread(table(s, d, "eval_items")).select("item_id", R.vector_literal(R.hashing_encoder("text")).alias("vector"))
 
 
+def _vectors(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """One vector for each id, of the whole text of its last row."""
+    x = ingest.latest(df, [id_col], "ingested_at")
+    return x.select(id_col, R.hashing_encoder(text).alias("vector"))
+
+
+@query("card_vectors")
+def _(s, d):
+    return _vectors(spread(table(s, d, "document_cards", "doc_id", "card_text", "ingested_at")), "doc_id", "card_text")
+
+
+@query("view_vectors")
+def _(s, d):
+    return _vectors(spread(table(s, d, "document_views", "view_id", "text", "ingested_at")), "view_id", "text")
+
+
+@query("chunk_vectors")
+def _(s, d):
+    return _vectors(spread(table(s, d, "chunks", "chunk_id", "content", "ingested_at")), "chunk_id", "content")
+
+
 @query("stored_rows")
 def _(s, d):
     return ingest.chunk_rows(_chunks(s, d))

@@ -42,6 +42,17 @@ def test_runs(spark, tiny, name):
     QUERIES[name](spark, tiny).count()
 
 
+@pytest.mark.parametrize("name, source, key, text", [("card_vectors", "document_cards", "doc_id", "card_text"), ("view_vectors", "document_views", "view_id", "text"), ("chunk_vectors", "chunks", "chunk_id", "content")])
+def test_a_vector_for_every_row(spark, tiny, duck, name, source, key, text):
+    from tessella.functions.records import hash_vector
+
+    got = {r[0]: r.vector for r in QUERIES[name](spark, tiny).collect()}
+    last = dict(duck.execute(f"SELECT {key}, arg_max({text}, ingested_at) FROM {source} GROUP BY {key}").fetchall())
+    assert got.keys() == last.keys() and len(got) > 0
+    for k in sorted(got)[:20]:
+        assert list(got[k]) == pytest.approx(list(hash_vector(last[k], 384)), abs=1e-6)
+
+
 def test_contract(spark):
     assert entry.entry(spark).columns
     assert set(entry.oracle_sql()) <= set(entry.queries())
