@@ -551,5 +551,5 @@ def _(s, d):
 @query("retrieve_with_fallback")
 def _(s, d):
     st = _store(s, d)
-    x = with_fallback(Request(QUERY, topk=10, institution="Council"), lambda r: retrieve_chunks(r, st.chunks, st.sections, dense=False).select("chunk_id", "score"), "chunk_id")
+    x = with_fallback(Request(QUERY, topk=10, institution="Council"), lambda r: retrieve_chunks(r, st.chunks, st.sections).select("chunk_id", "score"), "chunk_id")
     return x

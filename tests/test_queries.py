@@ -53,6 +53,15 @@ def test_a_vector_for_every_row(spark, tiny, duck, name, source, key, text):
         assert list(got[k]) == pytest.approx(list(hash_vector(last[k], 384)), abs=1e-6)
 
 
+def test_fallback_uses_both_channels(spark, tiny, monkeypatch):
+    from tessella.plans import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "retrieve_chunks", lambda r, c, s, *, dense=True: seen.append(dense) or c.selectExpr("chunk_id", "1.0D AS score"))
+    QUERIES["retrieve_with_fallback"](spark, tiny)
+    assert seen == [True, True]
+
+
 def test_contract(spark):
     assert entry.entry(spark).columns
     assert set(entry.oracle_sql()) <= set(entry.queries())
