@@ -437,25 +437,81 @@ def _(s, d):
 # -- parsing, cleaning, building: checked in the tests
 
 
-@query("parse_sections")
+_SP = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_BL = r"[ \t\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_SP}+|{_SP}+$', '', 'g')"
+
+
+SECTIONS_SQL = rf"""seg AS (SELECT doc_id, unnest(s) AS seg, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(coalesce(content_md, ''), '(?m)^(#{{1,6}}{_BL}+[^\s\x0b\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}][^\r\n]*)', chr(1) || '\1', 'g'), chr(1)) AS s FROM documents)),
+pos AS (SELECT *, coalesce(sum(length(seg)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS a, count(*) OVER (PARTITION BY doc_id) AS n FROM seg),
+hd AS (SELECT doc_id, i, seg, a, (a + length(seg))::INT AS b, CASE WHEN i = 1 THEN 1 ELSE length(regexp_extract(seg, '^#+')) END AS level, CASE WHEN i > 1 THEN {_strip("regexp_extract(seg, '^#+([^\r\n]*)', 1)")} WHEN n > 1 THEN 'Preface' ELSE 'Document' END AS heading FROM pos WHERE i > 1 OR n = 1 OR {_strip('seg')} != ''),
+up AS (SELECT x.doc_id, x.i, list(y.heading ORDER BY y.i) AS path FROM hd x JOIN hd y ON x.doc_id = y.doc_id AND (y.i = x.i OR y.i > 1 AND y.i < x.i AND NOT EXISTS (SELECT 1 FROM hd z WHERE z.doc_id = y.doc_id AND z.i > y.i AND z.i <= x.i AND z.level <= y.level)) GROUP BY ALL),
+sections_ AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS section_index, path AS section_path, heading, level::INT AS heading_level, a AS char_start, b AS char_end, {_strip('seg')} AS content FROM hd JOIN up USING (doc_id, i))"""
+REFERENCE_SQL = r"heading != 'Preface' AND (len(list_filter(section_path, lambda p: lower(p) IN ('references', 'bibliography', '参考文献'))) > 0 OR regexp_matches(content, '(?i)<!--\s*reference_section:\s*true\s*-->|(?:^|\n)\s*(?:#{1,6}\s*)?(?:REFERENCES|BIBLIOGRAPHY|参考文献)\s*\n\s*(?:\d+\.|\[\d+\])'))"
+BLOCKS_SQL = rf"""ln AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, regexp_split_to_array(content_md, '\r\n|\r|\n') AS s FROM documents WHERE content_md IS NOT NULL)),
+kd AS (SELECT *, CASE WHEN regexp_matches(line, '(?i)<!--\s*page:\s*\d+\s*-->|^{_BL}*\[page\s+\d+\]{_BL}*$|^{_BL}*page\s+\d+{_BL}*$') THEN 'page' WHEN regexp_matches(line, '^#{{1,5}}{_BL}+[^\s\x{{a0}}\x{{3000}}]') THEN 'heading'
+  WHEN regexp_matches(line, '^{_BL}*\|(.*\|)?{_BL}*$') THEN 'table' WHEN {_strip('line')} = '' THEN 'blank' ELSE 'text' END AS kind FROM ln),
+st AS (SELECT *, CASE WHEN kind IN ('page', 'heading') OR kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY doc_id ORDER BY i) THEN 1 ELSE 0 END AS s FROM kd),
+gr AS (SELECT *, sum(s) OVER (PARTITION BY doc_id ORDER BY i) AS g, last_value(CASE WHEN kind = 'page' THEN regexp_extract(line, '(?i)page:?\s*(\d+)', 1)::INT END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS page FROM st),
+bl AS (SELECT doc_id, g, any_value(kind) AS kind, any_value(page) AS page, {_strip("string_agg(line, chr(10) ORDER BY i)")} AS t FROM gr WHERE kind NOT IN ('page', 'blank') GROUP BY doc_id, g)"""
+
+
+@query("parse_sections", f"WITH {SECTIONS_SQL} SELECT *, {REFERENCE_SQL} AS is_reference_section FROM sections_")
 def _(s, d):
     return markdown.parse_sections(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id")
 
 
-@query("parse_blocks")
-def _(s, d):
+def _blocks(s, d):
     return markdown.parse_blocks(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id")
 
 
-@query("table_chunks")
+@query("parse_blocks", f"WITH {BLOCKS_SQL} SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1)::INT AS order_index, kind, CASE WHEN kind = 'heading' THEN {_strip("regexp_replace(t, '^#+', '')")} ELSE t END AS text, page FROM bl")
+def _(s, d):
+    return _blocks(s, d).select("doc_id", "order_index", "kind", F.regexp_replace("text", r"\r\n?", "\n").alias("text"), "page")
+
+
+@query("block_types")
+def _(s, d):
+    return _blocks(s, d).select("doc_id", "order_index", "heading_path", "level", "char_start", "char_end", "note", "block_type")
+
+
+def _cells_sql(x: str) -> str:
+    return rf"list_transform(string_split(regexp_replace(trim({x}), '^\|+|\|+$', '', 'g'), '|'), lambda c: trim(c))"
+
+
+@query("table_chunks", rf"""WITH {BLOCKS_SQL}, nb AS (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1)::INT AS order_index FROM bl),
+tb AS (SELECT doc_id, order_index, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(x)), lambda x: x != '') AS l FROM nb WHERE kind = 'table'),
+hd AS (SELECT *, CASE WHEN len(l) >= 2 AND len(list_filter({_cells_sql('l[2]')}, lambda c: NOT regexp_matches(replace(c, ':', ''), '^-{{3,}}$'))) = 0 THEN {_cells_sql('l[1]')} END AS headers FROM tb),
+rw AS (SELECT doc_id, order_index, headers, CASE WHEN headers IS NOT NULL THEN list_filter(l[3:], lambda x: starts_with(x, '|') AND ends_with(x, '|')) END AS r FROM hd),
+ex AS (SELECT doc_id, order_index, unnest(r) AS line, generate_subscripts(r, 1) AS i FROM rw)
+SELECT rw.doc_id, rw.order_index, rw.headers, (i - 1)::INT AS row_index, list_resize({_cells_sql('line')}, len(headers), '') AS cells, CASE WHEN headers IS NULL THEN 'table_header_not_parsed' END AS warning FROM rw LEFT JOIN ex USING (doc_id, order_index)""")
+def _(s, d):
+    return markdown.table_chunks(_blocks(s, d), "doc_id").select("doc_id", "order_index", "headers", "row_index", "cells", "warning")
+
+
+@query("atomic_chunks")
 def _(s, d):
-    return markdown.table_chunks(markdown.parse_blocks(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md", "doc_id"), "doc_id")
+    return chunking.atomic_chunks(_blocks(s, d), "doc_id")
+
+
+@query("section_chunks")
+def _(s, d):
+    return chunking.section_chunks(spread(table(s, d, "documents", "doc_id", "title", "content_md")), "content_md", "title", "doc_id")
 
 
 @query("semantic_chunks")
 def _(s, d):
-    x = ingest.latest(table(s, d, "sections"), ["section_id"], "ingested_at")
-    return chunking.chunk_sections(x, "section_id", "doc_id", "section_index")
+    """Of the sections delivered; of those delivered again each gives the same parts, so that only keys are compared."""
+    x = spread(table(s, d, "sections", "section_id", "doc_id", "section_index", "heading", "section_path", "content", "is_reference_section", "ingested_at"))
+    return chunking.chunk_sections(ingest.last_delivery(x, ["section_id"], "ingested_at"), "section_id", "doc_id", "section_index")
+
+
+@query("chunk_documents")
+def _(s, d):
+    return chunking.chunk_documents(spread(table(s, d, "documents", "doc_id", "title", "content_md")), "content_md", "title", "doc_id")
 
 
 @query("clean_bodies")

@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,33 +118,71 @@ MD = "intro\n\n# A\ntext\n\n### C\nmore\n\n## B\n| x | y |\n|---|---|\n| 1 | 2 |
 
 
 def test_sections_cover_the_text():
-    got = markdown.sections_of(MD)
-    assert [s["section_path"] for s in got] == [["Preface"], ["A"], ["A", "C"], ["A", "B"], ["References"]]
-    assert "".join(MD[s["char_start"] : s["char_end"]] for s in got) == MD
-    assert [s["is_reference_section"] for s in got] == [False] * 4 + [True]
-    assert markdown.sections_of(None)[0]["heading"] == "Document"
+    rows_, got = markdown.find_sections({"text": [MD, None, "no heading\n\n# R\n<!-- reference_section: true -->"]})
+    first = [i for i, r in enumerate(rows_) if r == 0]
+    assert [got["section_path"][i] for i in first] == [["Preface"], ["A"], ["A", "C"], ["A", "B"], ["References"]]
+    assert "".join(MD[got["char_start"][i] : got["char_end"][i]] for i in first) == MD
+    assert [got["is_reference_section"][i] for i in first] == [False] * 4 + [True]
+    assert got["heading"][5:] == ["Document", "Preface", "R"] and got["section_index"][5:] == [0, 0, 1] and got["is_reference_section"][7]
 
 
 def test_blocks_and_tables(spark):
-    d = spark.createDataFrame([(1, MD), (2, None), (3, "<!-- page: 4 -->\nshort")], "id int, md string")
+    d = spark.createDataFrame([(1, MD), (2, None), (3, "<!-- page: 4 -->\nshort"), (4, "\r\n## X\r\npage 7\r\n#### Y\r\n| a |\r\n| 1 |\r\nend")], "id int, md string")
     b = markdown.parse_blocks(d, "md", "id")
     got = b.filter("id = 1").orderBy("order_index").collect()
     assert [r.kind for r in got] == ["text", "heading", "text", "heading", "text", "heading", "table", "text", "heading", "text"]
+    assert [r.order_index for r in got] == list(range(10)) and got[4].heading_path == ["A", "C"] and got[6].heading_path == ["A", "B"] and got[0].heading_path == []
+    assert all(r.text in MD[r.char_start : r.char_end] for r in got) and got[6].note == "Notes: n"
     assert b.filter("id = 3").first().page == 4 and b.filter("id = 3").first().block_type == "title"
-    t = markdown.table_chunks(b, "id").orderBy("row_index").collect()
-    assert [r.cells for r in t] == [["1", "2"], ["4", ""]]
-    assert chunking.following_note(b, "id").first().note == "Notes: n"
+    last = b.filter("id = 4").orderBy("order_index").collect()
+    assert [(r.kind, r.text, r.page, r.heading_path) for r in last] == [("heading", "X", None, ["X"]), ("heading", "Y", 7, ["X", "Y"]), ("table", "| a |\r\n| 1 |", 7, ["X", "Y"]), ("text", "end", 7, ["X", "Y"])]
+    t = markdown.table_chunks(b, "id").orderBy("id", "row_index").collect()
+    assert [(r.cells, r.note, r.warning) for r in t] == [(["1", "2"], "Notes: n", None), (["4", ""], "Notes: n", None), (None, None, "table_header_not_parsed")]
 
 
 def test_semantic_parts_lose_nothing():
     text = "\n\n".join(f"Sentence {i} about dosing and monitoring of patients." for i in range(200)) + "\n\n" + "word " * 900
     got = chunking.semantic_parts(text)
-    assert max(p["token_count"] for p in got) <= chunking.MOST
+    assert max(n for *_, n in got) <= chunking.MOST
     want = Counter(chunking._TOKEN.findall(text))
-    assert not want - Counter(t for p in got for t in chunking._TOKEN.findall(p["content"]))
+    assert not want - Counter(t for x, *_ in got for t in chunking._TOKEN.findall(x))
     assert chunking.semantic_parts(None) == [] == chunking.semantic_parts("# only a heading\n")
-    assert [p["chunk_type"] for p in chunking.semantic_parts("We recommend rest.\n\n| a |\n| b |")] == ["recommendation", "table"]
-    assert chunking.recommendations("1. We suggest a\n2. Avoid b") == ["1. We suggest a", "2. Avoid b"]
+    assert [t for _, t, _ in chunking.semantic_parts("We recommend rest.\n\n| a |\n| b |")] == ["recommendation", "table"]
+    assert chunking.recommendations("1.1 We suggest a\n1.2 Avoid b") == ["1.1 We suggest a", "1.2 Avoid b"]
+    assert chunking.recommendations("- Offer a\n- Consider b") == ["- Offer a", "- Consider b"] and chunking.recommendations(" one\n") == ["one"]
+
+
+def test_budgets_against_a_loop():
+    import random
+
+    r = random.Random(3)
+    for _ in range(200):
+        n = [r.randint(1, 60) for _ in range(r.randint(0, 30))]
+        want, now, total = [], 0, 0
+        for i, x in enumerate(n):
+            if i > now and (total + x > 100 or total >= 70):
+                want.append((now, i))
+                now, total = i, 0
+            total += x
+        if n:
+            want.append((now, len(n)))
+        assert chunking.budgets(np.array(n, int), 70, 100) == want
+    assert [len(x.split()) for x in chunking.window_pieces("w " * 1000, 420, 40)] == [420, 420, 240] and chunking.window_pieces("", 4, 1) == []
+
+
+def test_atomic_and_parent_chunks(spark):
+    long = "word " * 1000
+    d = spark.createDataFrame([(1, "T", f"{long}\n\n# A\n1.1 We recommend x\n1.2 We suggest y\n\n# B\nplain"), (2, None, ""), (3, "only", "# H\n<!-- c -->")], "id int, title string, md string")
+    b = markdown.parse_blocks(d, "md", "id")
+    atoms = chunking.atomic_chunks(b, "id")
+    got = atoms.filter("id = 1").orderBy("order_index", "part_index").collect()
+    assert [(r.order_index, r.part_index, r.token_count) for r in got] == [(0, 0, 900), (0, 1, 180), (2, 0, 5), (2, 1, 5), (4, 0, 1)]
+    assert got[2].content == "1.1 We recommend x" and "heading_missing" in got[0].warnings and "chunk_too_short" in got[2].warnings and len({r.chunk_id for r in got}) == 5
+    parents = chunking.section_chunks(d, "md", "title", "id")
+    assert [(r.id, r.heading_path, r.order_start, r.order_end) for r in parents.orderBy("id", "order_start").collect()] == [(1, ["T"], 0, 0), (1, ["A"], 1, 2), (1, ["B"], 3, 4), (3, ["H"], 0, 1)]
+    assert chunking.parent_of(atoms, parents, "id").filter("parent_section_id IS NULL").isEmpty()
+    docs = chunking.chunk_documents(d, "md", "title", "id").filter("chunk_type = 'summary'").collect()
+    assert [(r.id, r.content) for r in docs] == [(3, "only H")]
 
 
 def test_types(spark):
