@@ -1,62 +1,63 @@
-"""Counts of character pairs over all of a corpus, in a table of fixed size."""
+"""Counts of characters and character pairs over all of a corpus."""
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Buckets of pairs and of single characters: what is sent to the driver and to the workers is at most so many numbers.
-PAIRS, SINGLES = 1 << 20, 1 << 16
+from tessella.llm.counts import Counts, characters, counted, frequent
+
+#: Pairs with this share of all characters or less count as unseen; so at most 1 / RATE are collected and broadcast.
+RATE = 2e-8
+_ONE = np.uint64(1 << 63)
 
 
 def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def pair_buckets(c: np.ndarray) -> np.ndarray:
-    """Of each character with the one after it."""
-    x = c[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + c[1:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) >> np.uint64(44)).astype(np.int64)
+def pair_keys(c: np.ndarray) -> np.ndarray:
+    """Of each character with the one after it: both numbers in one, which no other pair has."""
+    return (c[:-1].astype(np.uint64) << np.uint64(21) | c[1:].astype(np.uint64)) + np.uint64(1)
 
 
 @dataclass
 class PairModel:
-    pairs: np.ndarray
+    """singles: by code point."""
+
+    counts: Counts
     singles: np.ndarray
 
     def __post_init__(self) -> None:
         self.total = float(self.singles.sum())
 
+    def pairs(self, c: np.ndarray) -> np.ndarray:
+        return self.counts(pair_keys(c))
+
     def log(self, text: str) -> np.ndarray:
         """The log probability of each character after the one before it; the text is taken to begin after a line break."""
-        c = codes("\n" + text)
-        return np.log((self.pairs[pair_buckets(c)] + 0.02) / (self.singles[c[:-1] & 0xFFFF] + 20.0))
+        return self.log_codes(codes("\n" + text))
+
+    def log_codes(self, c: np.ndarray) -> np.ndarray:
+        return np.log((self.pairs(c) + 0.02) / (self.singles[c[:-1]] + 20.0))
 
     def seen(self, text: str) -> np.ndarray:
         """How often each pair of the text is in the corpus."""
-        return self.pairs[pair_buckets(codes(text))]
+        return self.pairs(codes(text))
 
 
 def pair_model(df: DataFrame, text: str) -> PairModel:
-    """Counted over all rows: each task adds up its own, equal buckets are summed before and after the shuffle."""
-
-    def count(batches):
-        pairs, singles = np.zeros(PAIRS, np.int64), np.zeros(SINGLES, np.int64)
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                c = codes("\n" + "\n".join(x for x in b.column(0).slice(at, 256).to_pylist() if x) + "\n")
-                np.add.at(singles, c & 0xFFFF, 1) if len(c) < 256 else singles.__iadd__(np.bincount(c & 0xFFFF, minlength=SINGLES))
-                k, n = np.unique(pair_buckets(c), return_counts=True)
-                pairs[k] += n
-        for base, table in ((0, pairs), (PAIRS, singles)):
-            at = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays([pa.array(at + base, pa.int32()), pa.array(table[at], pa.int64())], ["bucket", "n"])
-
-    rows = df.select(text).mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(PAIRS + SINGLES, np.float32)
-    table[rows.bucket.to_numpy()] = rows.n.to_numpy()
-    return PairModel(table[:PAIRS], table[PAIRS:])
+    """Counted over all rows."""
+
+    def keys(texts: list[str]) -> np.ndarray:
+        c = codes("\n" + "\n".join(texts) + "\n")
+        return np.concatenate([pair_keys(c), c.astype(np.uint64) | _ONE])
+
+    k, n = frequent(counted(df, (text,), keys), RATE * characters(df, text))
+    one = k >= _ONE
+    singles = np.zeros(sys.maxunicode + 1, np.float32)
+    singles[(k[one] ^ _ONE).astype(np.int64)] = n[one]
+    return PairModel(Counts(k[~one], n[~one]), singles)

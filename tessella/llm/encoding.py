@@ -3,11 +3,12 @@
 The latent variable of each line is the chain of encodings that garbled it, or none. A line that holds character pairs
 unknown to the corpus is tried against all chains: each turns what it could have made back into bytes and decodes them
 again. The evidence for a chain is the log-likelihood ratio of the restored line to the line as it is under a model of
-character pairs counted over all training texts. Evidence alone may be weak, such as one accent in a remark; it is
-pooled by expectation-maximization: for each source and field the share of lines that each chain garbled is estimated
-from the posteriors of all their lines, and gives the prior of the next posteriors. The lines' evidence is first counted
-by source, field, chain and rounded ratio, so that a source of any size is a few counts. A record is repaired, line by
-line, by the posterior.
+character pairs counted over all training texts. No chain is chosen for a line beforehand: the evidence of all of them,
+however weak, goes into expectation-maximization, which estimates for each source and field the share of lines that each
+chain garbled from the posteriors of all their lines, and takes it as the prior of the next posteriors. So one source's
+clear lines decide between chains that restore a weak line alike. The lines' evidence is first counted by source, field and
+rounded ratios, so that a source of any size is as many counts as it has different evidence. A record is repaired, line by
+line, by the likeliest chain, if the chains together have a posterior of one half.
 
 A line with U+FFFD has lost characters: it is found, and what is left is restored as far as a chain fits.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.arrow import through
-from tessella.llm.chars import PairModel, codes, pair_buckets, pair_model
+from tessella.llm.chars import PairModel, codes, pair_model
 from tessella.session import cut
 from tessella.sources.tables import spread, table
 
@@ -37,8 +38,10 @@ SINGLE = ("windows", "mac_roman", "cp1251", "cp437", "cp850", "cp866", "koi8-r",
 MULTI = ("gb18030", "big5", "cp932")
 GB_AS = ("windows", "mac_roman", "cp1251", "cp437")
 LATIN_AS = ("cp850", "cp437", "mac_roman", "cp1251", "cp1250", "koi8-r", "gb18030")
-#: Ratios are rounded to whole nats and kept within this.
-MOST = 30
+#: Ratios are rounded to whole nats. Above the one they are all certain, as no prior is less than 1 in e^30 lines; below the other
+#: no prior of at most CEILING brings a posterior of one half.
+MOST, CEILING = 40, 0.95
+LOWEST = math.floor(-math.log(CEILING / (1 - CEILING)))
 
 
 @lru_cache(maxsize=None)
@@ -151,9 +154,10 @@ def _wide(x: str) -> int:
     return sum(c > "\u2e7f" for c in x)
 
 
-def evidence(line: str, model: PairModel) -> tuple[str, float, str] | None:
-    """(chain, log-likelihood ratio, restored line) of the chain with the most evidence, if any speaks for one."""
-    plain, best = None, None
+def evidence(line: str, model: PairModel) -> list[tuple[str, float, str]]:
+    """(chain, log-likelihood ratio, restored line) of all chains that can have made the line, the strongest first."""
+    plain, out = None, []
+    known: dict[str, float] = {}
     for name, undo in chains().items():
         back = undo(line)
         if back == line:
@@ -162,18 +166,19 @@ def evidence(line: str, model: PairModel) -> tuple[str, float, str] | None:
             # one for one: all pairs around a changed character must be known
             changed = np.flatnonzero(codes(line) != codes(back))
             seen = model.seen("\n" + back + "\n")
-            if seen[changed].min() < 1 or seen[changed + 1].min() < 1:
+            if seen[changed].min() == 0 or seen[changed + 1].min() == 0:
                 continue
-        if not all(c < "\u0250" or "\u1e00" <= c < "\u1f00" or "\u2000" <= c < "\u2300" or c > "\u2e7f" or model.singles[ord(c) & 0xFFFF] for c in set(back) - set(line)):
-            continue  # it would hold letters of a script that the corpus doesn't know
-        if plain is None:
-            plain = model.log(line).sum()
-        ratio = float(model.log(back).sum() - plain)
+        if back not in known:
+            # letters of a script that the corpus doesn't know can't have stood here
+            fit = all(c < "\u0250" or "\u1e00" <= c < "\u1f00" or "\u2000" <= c < "\u2300" or c > "\u2e7f" or model.singles[ord(c)] for c in set(back) - set(line))
+            plain = model.log(line).sum() if plain is None and fit else plain
+            known[back] = float(model.log(back).sum() - plain) if fit else -math.inf
+        ratio = known[back]
         if name.startswith("utf-8 as"):
             ratio += VALID * max(0, len(line) - len(back)) if name.split(",")[0][9:] in SINGLE else VALID_WIDE * max(0, _wide(line) - _wide(back))
-        if ratio > 0 and (best is None or ratio > best[1]):
-            best = (name, ratio, back)
-    return best
+        if ratio >= LOWEST:
+            out.append((name, ratio, back))
+    return sorted(out, key=lambda e: -e[1])
 
 
 def suspicious_lines(xs: list[str], model: PairModel) -> dict[int, list[tuple[int, str]]]:
@@ -183,9 +188,9 @@ def suspicious_lines(xs: list[str], model: PairModel) -> dict[int, list[tuple[in
     if len(flat) < 2:
         return out
     a, b = flat[:-1], flat[1:]
-    rare = np.minimum(model.singles[a & 0xFFFF], model.singles[b & 0xFFFF]) <= model.total * 5e-6
+    rare = np.minimum(model.singles[a], model.singles[b]) <= model.total * 5e-6
     mixed = (a < 128) != (b < 128)
-    odd = np.flatnonzero(((a > 127) | (b > 127)) & (((model.pairs[pair_buckets(flat)] <= model.total * 2e-8) & (rare | mixed)) | (b == 0xFFFD)))
+    odd = np.flatnonzero(((a > 127) | (b > 127)) & (((model.pairs(flat) == 0) & (rare | mixed)) | (b == 0xFFFD)))
     if not len(odd):
         return out
     ends = np.cumsum([len(x) + 1 for x in xs])
@@ -207,71 +212,89 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return spread(d).unionByName(spread(c))
 
 
+def names() -> list[str]:
+    return [*chains(), LOST]
+
+
+def signature(found: list[tuple[str, float, str]], lost: bool) -> str:
+    """Of a line the chains, by number, with their rounded ratios: lines of one signature are one case."""
+    at = {n: i for i, n in enumerate(names())}
+    each = sorted((at[n], min(MOST, math.floor(r))) for n, r, _ in found)
+    return ",".join(f"{i}:{r}" for i, r in [*each, *([(at[LOST], MOST)] if lost else [])])
+
+
 def line_evidence(df: DataFrame, model: PairModel) -> DataFrame:
-    """A row for a line with evidence: item_kind, item_key, source, line, chain, ratio (whole nats)."""
+    """A row for a line that some chain can have made: item_kind, item_key, source, line, signature."""
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        known: dict[str, tuple[str, float, str] | None] = {}  # of lines that come often, such as headings
+        known: dict[str, str] = {}  # of lines that come often, such as headings
 
-        def of(line: str) -> tuple[str, float, str] | None:
+        def of(line: str) -> str:
             if len(line) > 60:
-                return evidence(line, held.value)
+                return signature(evidence(line, held.value), "\ufffd" in line)
             if line not in known:
                 if len(known) >= 1 << 15:
                     known.clear()
-                known[line] = evidence(line, held.value)
+                known[line] = signature(evidence(line, held.value), "\ufffd" in line)
             return known[line]
 
         def batch(c: dict[str, list]) -> dict[str, list]:
-            out = {k: [] for k in ("item_kind", "item_key", "source", "line", "chain", "ratio")}
+            out = {k: [] for k in ("item_kind", "item_key", "source", "line", "signature")}
             rows = [i for i, x in enumerate(c["content"]) if x and not x.isascii()]
             for at in range(0, len(rows), 256):
                 some = rows[at : at + 256]
                 for j, lines in suspicious_lines([c["content"][i] for i in some], held.value).items():
                     for n, line in lines:
-                        best = of(line)
-                        if "�" in line:
-                            best = (best[0], MOST, best[2]) if best else (LOST, MOST, line)
-                        if best and best[1] >= 1:
+                        if sig := of(line):
                             i = some[j]
-                            for k, v in (("item_kind", c["item_kind"][i]), ("item_key", c["item_key"][i]), ("source", c["source"][i] or ""), ("line", n), ("chain", best[0]), ("ratio", int(min(MOST, best[1])))):
+                            for k, v in (("item_kind", c["item_kind"][i]), ("item_key", c["item_key"][i]), ("source", c["source"][i] or ""), ("line", n), ("signature", sig)):
                                 out[k].append(v)
             return out
 
         return batch
 
-    return through(df, make, "item_kind string, item_key string, source string, line int, chain string, ratio int")
-
-
-#: Pseudo-counts of lines that no chain and that some chain garbled.
-CLEAN, GARBLED = 50.0, 1.0
+    return through(df, make, "item_kind string, item_key string, source string, line int, signature string")
+
+
+#: Pseudo-counts of lines that no chain garbled, and that a chain did.
+CLEAN, GARBLED = 50.0, 0.5
+
+
+def maximized(signatures: list[str], n: np.ndarray, records: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each signature the posterior that some chain garbled its lines, and the number of the likeliest chain."""
+    ratio = np.full((len(n), len(names())), -np.inf)
+    for i, s in enumerate(signatures):
+        for x in s.split(","):
+            k, r = x.split(":")
+            ratio[i, int(k)] = int(r)
+    there = np.isfinite(ratio).any(0)
+    total = max(records, float(n.sum())) + CLEAN
+    share = np.where(there, GARBLED / total, 0.0)
+    for _ in range(50):
+        with np.errstate(divide="ignore"):
+            odds = np.exp(np.log(share) - math.log(max(1e-9, 1 - share.sum())) + ratio)
+        post = odds / (1 + odds.sum(1, keepdims=True))
+        new = np.where(there, (GARBLED + n @ post) / (total + GARBLED * there.sum()), 0.0)
+        new *= min(1.0, CEILING / new.sum())
+        moved = np.abs(np.log(new[there] / share[there])).max()
+        share = new
+        if moved < 1e-3:
+            break
+    real = post[:, :-1]
+    return post.sum(1), np.where(real.max(1) > 0, real.argmax(1), len(names()) - 1)
 
 
 def posteriors(lines: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(source, item_kind, chain, ratio, posterior) by expectation-maximization over each source's counts. sizes: source,
+    """(source, item_kind, signature, chain, posterior) by expectation-maximization over each source's counts. sizes: source,
     item_kind, records."""
-    counts = lines.groupBy("source", "item_kind", "chain", "ratio").agg(F.count("*").alias("n")).join(sizes, ["source", "item_kind"])
+    counts = lines.groupBy("source", "item_kind", "signature").agg(F.count("*").alias("n")).join(sizes, ["source", "item_kind"])
 
     def em(g: pd.DataFrame) -> pd.DataFrame:
-        n, ratio, chain = g["n"].to_numpy(float), g["ratio"].to_numpy(float), g["chain"].to_numpy()
-        total = max(float(g["records"].iloc[0]), n.sum()) + CLEAN
-        share = {c: GARBLED / total for c in set(chain)}
-        post = np.zeros(len(g))
-        for _ in range(30):
-            prior = np.array([share[c] for c in chain])
-            odds = np.log(prior / np.maximum(1e-9, 1 - sum(share.values()))) + ratio
-            post = 1 / (1 + np.exp(-odds))
-            new = {c: (GARBLED + (post * n)[chain == c].sum()) / (total + GARBLED * len(share)) for c in share}
-            if sum(new.values()) > 0.95:
-                new = {c: v * 0.95 / sum(new.values()) for c, v in new.items()}
-            moved = max(abs(math.log(new[c] / share[c])) for c in share)
-            share = new
-            if moved < 1e-3:
-                break
-        return g[["source", "item_kind", "chain", "ratio"]].assign(posterior=post)
-
-    return counts.groupBy("source", "item_kind").applyInPandas(em, "source string, item_kind string, chain string, ratio int, posterior double")
+        p, chain = maximized(g["signature"].tolist(), g["n"].to_numpy(float), float(g["records"].iloc[0]))
+        return g[["source", "item_kind", "signature"]].assign(chain=[names()[k] for k in chain], posterior=p)
+
+    return counts.groupBy("source", "item_kind").applyInPandas(em, "source string, item_kind string, signature string, chain string, posterior double")
 
 
 def garbled_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,7 +304,7 @@ def garbled_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = cut(line_evidence(all_, model))
     sizes = all_.groupBy(F.coalesce("source", F.lit("")).alias("source"), "item_kind").agg(F.count("*").alias("records"))
     post = posteriors(lines, sizes)
-    return lines.join(post, ["source", "item_kind", "chain", "ratio"]).filter("posterior >= 0.5").select("item_kind", "item_key", "line", "chain", "posterior")
+    return lines.join(post, ["source", "item_kind", "signature"]).filter("posterior >= 0.5").select("item_kind", "item_key", "line", "chain", "posterior")
 
 
 def restore(text: str, how: dict[int, str]) -> str:
@@ -297,7 +320,8 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_restored(spark: SparkSession, folder: str) -> DataFrame:
-    """Each garbled record with its text restored where that can be; of a card delivered again, each different text."""
+    """Each garbled record with its text restored where that can be; of a card delivered again, each different text. Documents have one
+    row each, so that only cards, whose flags are short, are reduced."""
     how = garbled_lines(spark, folder).groupBy("item_kind", "item_key").agg(F.array_distinct(F.collect_list(F.struct("line", "chain"))).alias("how"))
     both = records(spark, folder).join(how, ["item_kind", "item_key"]).select("item_kind", "item_key", "content", "how")
 
@@ -307,4 +331,6 @@ def p4_restored(spark: SparkSession, folder: str) -> DataFrame:
 
         return batch
 
-    return through(both, make, "item_kind string, item_key string, restored string").distinct()
+    kind = "item_kind string, item_key string, restored string"
+    cards = through(both.filter("item_kind = 'card'"), make, kind).distinct()
+    return through(both.filter("item_kind = 'document'"), make, kind).unionByName(cards)

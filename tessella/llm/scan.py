@@ -3,12 +3,14 @@
 First the page's furniture goes: page numbers, page markers, and running headers, which repeat the document's title or
 institution. Then lines that the page's width broke are joined, words hyphenated across lines with or without their
 hyphen, whichever form the corpus knows better, and spaced-out words closed. Last, characters are corrected by a noisy
-channel: each word has candidates, made by undoing confusions that scanners make, with the probability of each
-confusion; the probability of a word after the word before it comes from counts over the whole corpus; the best path
-through each line's candidates is found by Viterbi. Chinese is decoded the same way over characters.
+channel: each word has candidates, which are all words of the corpus' lexicon that confusions of scanners can have turned
+into it; the probability of each confusion is estimated from the corpus by expectation-maximization; that of a word after
+the word before it comes from counts over the whole corpus; the best path through each line's candidates is found by
+Viterbi. Chinese is decoded the same way over characters.
 
-Counts are kept in hashed tables of fixed size. A noisy form is itself a word of the corpus, so a candidate is only taken
-that is RATIO times as frequent; no count but that ratio decides, whatever the size of the corpus.
+Candidates are found by walking the lexicon and the token at once, so that neither length nor number of confusions is
+limited. A noisy form is itself a word of the corpus: what misreading of its candidates already explains doesn't count for
+it, and a candidate is only taken that is RATIO times as frequent. Rates and ratios decide, whatever the size of the corpus.
 
 Defined results: null stays null; empty texts and texts without noise come out as they are, with zero edits; code, tables,
 headings and markup lines are left alone; line ends CRLF are read as LF, which alone is no edit. Texts are taken whole.
@@ -16,10 +18,11 @@ headings and markup lines are left alone; line ends CRLF are read as LF, which a
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
-from dataclasses import dataclass
-from hashlib import blake2b
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +30,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.arrow import through
-from tessella.llm.chars import PairModel, pair_buckets, pair_model
+from tessella.llm.chars import PairModel, codes, pair_model
+from tessella.llm.counts import Counts, hash64
+from tessella.session import cut
 from tessella.sources.tables import spread, table
 
-#: Buckets of each of two hashed tables of words, of the one of word pairs: the bound of what is collected and broadcast.
-WORDS, PAIRS = 1 << 20, 1 << 20
+#: Words and word pairs with this share of all words or less count as unseen; so at most 1 / RATE of each are collected and broadcast.
+RATE = 1e-7
 RATIO = 20.0
-#: Confusions of scanners, misread -> true, with their share of all characters of that kind that are misread.
-CONFUSIONS = {"c": ("e",), "!": ("i", "l"), "@": ("a",), "0": ("o",), "5": ("s",), "|": ("l", "i"), "1": ("l", "i"), "cl": ("d",), "9": ("g",), "li": ("h",), "u": ("ti",), "rn": ("m",), "m": ("in", "rn"), "h": ("li",), "vv": ("w",), "^": ("",), "~": ("",), "■": ("",), "•": ("",), "¬": ("",), "\xad": ("",), "$": ("s",), "6": ("b",), "8": ("B",), "ii": ("n",), "nn": ("m",), "tl": ("d",)}
+#: Confusions of scanners, misread -> true.
+CONFUSIONS = {"c": ("e",), "!": ("i", "l"), "@": ("a",), "0": ("o",), "5": ("s",), "|": ("l", "i"), "1": ("l", "i"), "cl": ("d",), "9": ("g",), "li": ("h",), "u": ("ti",), "rn": ("m",), "m": ("in", "rn"), "h": ("li",), "vv": ("w",), "^": ("",), "~": ("",), "■": ("",), "•": ("",), "¬": ("",), "\xad": ("",), "$": ("s",), "6": ("b",), "8": ("b",), "ii": ("n",), "nn": ("m",), "tl": ("d",)}
 HAN = {"ꎬ": "，", "ꎮ": "。", "旳": "的", "耆": "者", "里": "量", "惠": "患", "荆": "剂", "曰": "日", "冶": "治", "庁": "疗", "夭": "天", "侧": "测", "義": "议", "捡": "检", "入": "人", "太": "大", "未": "末", "己": "已", "土": "士", "干": "千", "问": "间"}
+#: What a confusion's log probability is before any text is read, how many occurrences that weighs, the least it can be, and rounds of estimation.
+SHARE, WEIGHT, LEAST, ROUNDS = -6.0, 10_000.0, -14.0, 2
+#: Log probabilities that a word is none of the lexicon, and of each of its letters.
+NEW, LETTER = math.log(0.01), math.log(1 / 27)
+_BY_FIRST: dict[str, list[tuple[str, str]]] = defaultdict(list)
+for _bad, _goods in CONFUSIONS.items():
+    _BY_FIRST[_bad[0]] += [(_bad, g) for g in _goods]
+_SIGNS = frozenset("".join(b for b in CONFUSIONS if not b.isalpha()))
+_JOINT = "-'’‐‑·."
 _MISREAD = re.compile("[" + "".join(HAN) + "]+")
-SHARE = -6.0  # log of the probability of one confusion
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\s　-〿＀-￯㐀-鿿ꎬꎮ()\[\]{}<>“”„«»\"/;:,…≤≥=+×±–—]+")
+_SIGNED = re.compile(r"[^\s　-〿＀-￯㐀-鿿()\[\]{}<>“”„«»\"/;:,…≤≥=+×±–—]+")
+_PLAIN = re.compile(r"[^\W\d_]+(?:[-'’‐‑·.][^\W\d_]+)*")
 _TRIM = ".?'’‘*_`%-‐"
 _HAN = re.compile(r"[㐀-鿿]")
 
@@ -64,80 +79,197 @@ def _structural(line: str) -> bool:
     return bool(_STRUCTURE.match(line)) or line.rstrip().endswith(_ENDS) and bool(_TAIL.search(line))
 
 
-def _hash(x: str) -> tuple[int, int]:
-    h = int.from_bytes(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-    return h & (WORDS - 1), h >> 44
-
-
 @dataclass
 class WordModel:
-    """Counts of words (the less of two hashed tables) and of word pairs."""
+    """The lexicon with its counts, counts of word pairs, and the log probability of each confusion."""
 
-    one: np.ndarray
-    two: np.ndarray
-    pairs: np.ndarray
+    lexicon: dict[str, float]
+    pairs: Counts
+    total: float
+    shares: dict[tuple[str, str], float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.known: dict[str, float] = {}
-        self.total = float(self.one.sum()) + 1.0
-        self.most = float(self.one.max(initial=0.0))  # no word counts more
+        self.words = sorted(self.lexicon)
+        self.most = max(self.lexicon.values(), default=0.0)
+        self.rare = max(1.0, RATE * self.total)  # no word outside the lexicon counts more
+        self.known: dict[tuple[str, str], float] = {}
 
     def count(self, w: str) -> float:
-        if (n := self.known.get(w)) is None:
-            a, b = _hash(w)
-            n = float(min(self.one[a], self.two[b]))
+        return self.lexicon.get(w, 0.0)
+
+    def pair(self, a: str, b: str) -> float:
+        if (n := self.known.get((a, b))) is None:
+            n = self.pairs.one(hash64(f"{a} {b}"))
             if len(self.known) < 1 << 18:
-                self.known[w] = n
+                self.known[a, b] = n
         return n
 
-    def pair(self, a: str, b: str) -> float:
-        return float(self.pairs[_hash(a + " " + b)[0]])
+    def begins(self, prefix: str) -> bool:
+        i = bisect_left(self.words, prefix)
+        return i < len(self.words) and self.words[i].startswith(prefix)
+
+    def share(self, bad: str, good: str) -> float:
+        return self.shares.get((bad, good), SHARE)
+
+    def readings(self, token: str, own: float) -> dict[str, tuple[float, tuple[tuple[str, str], ...]]]:
+        """What a lower-case token can have been: its parts are letters, and each that changes is a word RATIO times as frequent as
+        the token. With the log probability of the confusions, and which they are; of several ways the likeliest."""
+        need = RATIO * max(1.0, own)
+        out: dict[str, tuple[float, tuple[tuple[str, str], ...]]] = {}
+        # at, finished parts, the open part, whether it has changed, longest part, log probability, confusions
+        stack: list[tuple[int, str, str, bool, int, float, tuple[tuple[str, str], ...]]] = [(0, "", "", False, 0, 0.0, ())]
+        n = len(token)
+
+        def closes(part: str, changed: bool) -> bool:
+            return bool(part) and (not changed or self.count(part) >= need)
+
+        while stack:
+            i, done, part, changed, longest, p, used = stack.pop()
+            if i == n:
+                if used and closes(part, changed) and max(longest, len(part)) >= 3 and (done + part not in out or out[done + part][0] < p):
+                    out[done + part] = (p, used)
+                continue
+            c = token[i]
+            if c.isalpha():
+                if not changed or self.begins(part + c):
+                    stack.append((i + 1, done, part + c, changed, longest, p, used))
+            elif c in _JOINT and closes(part, changed):
+                stack.append((i + 1, done + part + c, "", False, max(longest, len(part)), p, used))
+            for bad, good in _BY_FIRST.get(c, ()):
+                if token.startswith(bad, i) and self.begins(part + good):
+                    stack.append((i + len(bad), done, part + good, True, longest, p + self.share(bad, good), (*used, (bad, good))))
+        return out
 
 
 def word_model(df: DataFrame, *columns: str) -> WordModel:
-    """Counted over all rows of the columns: each task sums words before they are hashed and summed again after the shuffle."""
+    """Counted over all rows of the columns: each task sums words, pairs and tokens with signs before they are shuffled. From the
+    words and tokens that have readings, each confusion's probability is then estimated."""
 
     def count(batches):
-        words, pairs = Counter(), Counter()
-        one, two, both = np.zeros(WORDS, np.int64), np.zeros(1 << 20, np.int64), np.zeros(PAIRS, np.int64)
-
-        def empty():
-            for w, n in words.items():
-                a, b = _hash(w)
-                one[a] += n
-                two[b] += n
-            for w, n in pairs.items():
-                both[_hash(" ".join(w))[0]] += n
-            words.clear()
-            pairs.clear()
+        words, pairs, tokens = Counter(), Counter(), Counter()
+
+        def rows():
+            for w in [w for w in pairs if not (w[0] and w[1])]:
+                del pairs[w]
+            kind = np.repeat(np.array([0, 1, 2], np.int8), [len(tokens), len(words), len(pairs)])
+            text = pa.array([*tokens, *words, *([None] * len(pairs))], pa.string())
+            key = np.array([0] * (len(tokens) + len(words)) + [hash64(" ".join(w)) for w in pairs], np.uint64)
+            n = np.array([*tokens.values(), *words.values(), *pairs.values()], np.int64)
+            for x in (words, pairs, tokens):
+                x.clear()
+            return pa.RecordBatch.from_arrays([pa.array(kind), text, pa.array(key.view(np.int64)), pa.array(n)], ["kind", "word", "key", "n"])
 
         for b in batches:
             for col in b.columns:
                 for x in col.to_pylist():
                     if x:
-                        ws = _WORD.findall(x.lower())
+                        low = x.lower()
+                        ws = ["" if "㐀" <= w[0] <= "鿿" else w for w in _WORD.findall(low)]  # Chinese runs are decoded by characters
                         words.update(ws)
                         pairs.update(zip(ws, ws[1:]))
-                if len(words) + len(pairs) > 500_000:
-                    empty()
-        empty()
-        for base, t in ((0, one), (WORDS, two), (WORDS + (1 << 20), both)):
-            at = np.flatnonzero(t)
-            yield pa.RecordBatch.from_arrays([pa.array(at + base, pa.int32()), pa.array(t[at], pa.int64())], ["bucket", "n"])
-
-    rows = df.select(*columns).mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    t = np.zeros(WORDS + (1 << 20) + PAIRS, np.float32)
-    t[rows.bucket.to_numpy()] = rows.n.to_numpy()
-    return WordModel(t[:WORDS], t[WORDS : WORDS + (1 << 20)], t[WORDS + (1 << 20) :])
+                        if any(c in low for c in _SIGNS):
+                            tokens.update(t for t in _SIGNED.findall(low) if not _SIGNS.isdisjoint(t) and any(c.isalpha() for c in t))
+                if len(words) + len(pairs) + len(tokens) > 400_000:
+                    yield rows()
+        yield rows()
+
+    counts = cut(df.select(*columns).mapInArrow(count, "kind tinyint, word string, key bigint, n bigint").groupBy("kind", "word", "key").agg(F.sum("n").alias("n")))
+    total = float(counts.filter("kind = 1").agg(F.sum("n")).first()[0] or 0)
+    more = counts.filter(F.col("n") > F.lit(RATE * total))
+    ws, ps = more.filter("kind = 1 AND word != ''").select("word", "n").toArrow(), more.filter("kind = 2").select("key", "n").toArrow()
+    model = WordModel(dict(zip(ws.column("word").to_pylist(), map(float, ws.column("n").to_pylist()))), Counts(ps.column("key").to_numpy().view(np.uint64), ps.column("n").to_numpy()), total)
+    return estimated(model, counts.filter("kind < 2 AND word != ''").select("word", "n"))
+
+
+def posterior(w: str, n: float, model: WordModel) -> dict[tuple[str, str], float]:
+    """How often each confusion has made this word, as far as readings explain it better than a new word does."""
+    got = {y: r for y, r in model.readings(w, max(float(n), 1.0)).items()}
+    out: dict[tuple[str, str], float] = {}
+    if got:
+        logs = [r[0] + sum(math.log((model.count(q) + 0.01) / model.total) for q in _WORD.findall(y)) for y, r in got.items()]
+        logs.append(NEW + LETTER * len(w))
+        most = max(logs)
+        weights = [math.exp(x - most) for x in logs]
+        for (_, used), v in zip(got.values(), weights):
+            for u in used:
+                out[u] = out.get(u, 0.0) + n * v / sum(weights)
+    return out
+
+
+def estimated(model: WordModel, words: DataFrame) -> WordModel:
+    """The model with the probabilities of confusions. words: word, n of the whole vocabulary, which stays distributed; what comes back in
+    a round is a number for each confusion."""
+    sc, every = words.sparkSession.sparkContext, [(b, g) for b, gs in CONFUSIONS.items() for g in gs]
+    occurs = {good: sum(n * (w.count(good) if good else len(w) + 1) for w, n in model.lexicon.items()) for _, good in every}
+    for _ in range(ROUNDS):
+        held = sc.broadcast((model.lexicon, model.total, model.shares))
+
+        def expect(batches, held=held):
+            lexicon, total, shares = held.value
+            m = WordModel(lexicon, Counts(np.zeros(0, np.uint64), np.zeros(0)), total, shares)
+            sums: dict[tuple[str, str], float] = {}
+            for b in batches:
+                for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    if RATIO * n <= m.most and len(w) >= 3:
+                        for u, v in posterior(w, n, m).items():
+                            sums[u] = sums.get(u, 0.0) + v
+            yield pa.RecordBatch.from_arrays([pa.array([u[0] for u in sums], pa.string()), pa.array([u[1] for u in sums], pa.string()), pa.array(list(sums.values()), pa.float64())], ["bad", "good", "n"])
+
+        got = {(r.bad, r.good): r.n for r in words.mapInArrow(expect, "bad string, good string, n double").groupBy("bad", "good").agg(F.sum("n").alias("n")).collect()}
+        held.unpersist()
+        model.shares = {u: max(LEAST, math.log((got.get(u, 0.0) + WEIGHT * math.exp(SHARE)) / (occurs[u[1]] + WEIGHT))) for u in every}
+    return model
+
+
+def han_shares(df: DataFrame, text: str, chars: PairModel) -> dict[str, float]:
+    """The log probability of each confused Chinese character: how often it stands where, between its neighbours, the true one is
+    expected, against how often the true one stands. All texts are read; what comes back is two numbers for a character."""
+    held = df.sparkSession.sparkContext.broadcast(chars)
+    bad = np.array([ord(c) for c in HAN], np.uint32)
+    good = np.array([ord(c) for c in HAN.values()], np.uint32)
+
+    def expect(batches):
+        m = held.value
+        sums = np.zeros((2, len(bad)))
+        order = np.argsort(bad)
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                c = codes("\n" + "\n".join(b.column(0).slice(at, 256).to_pylist()) + "\n")
+                k = np.minimum(np.searchsorted(bad[order], c), len(bad) - 1)
+                spot = np.flatnonzero(bad[order][k] == c)
+                spot = spot[(spot > 0) & (spot < len(c) - 1)]
+                which = order[k[spot]]
+                triple = np.stack([c[spot - 1], c[spot], c[spot + 1]], 1)
+                own = m.log_codes(triple.ravel()).reshape(-1) if len(spot) else np.zeros(0)
+                own = _within(own, len(spot))
+                triple[:, 1] = good[which]
+                other = _within(m.log_codes(triple.ravel()) if len(spot) else np.zeros(0), len(spot))
+                p = 1 / (1 + np.exp(np.clip(own - other - SHARE, -50, 50)))
+                sums[0] += np.bincount(which, p, len(bad))
+                sums[1] += [np.count_nonzero(c == g) for g in good]
+        yield pa.RecordBatch.from_arrays([pa.array(list(HAN)), pa.array(sums[0]), pa.array(sums[1])], ["bad", "n", "good"])
+
+    some = df.filter(F.col(text).rlike("[" + "".join(HAN) + "]")).select(text)
+    got = some.mapInArrow(expect, "bad string, n double, good double").groupBy("bad").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect()
+    return {r.bad: max(LEAST, min(-0.7, math.log((r.n + WEIGHT * math.exp(SHARE)) / (r.n + r.good + WEIGHT)))) for r in got}
+
+
+def _within(logs: np.ndarray, n: int) -> np.ndarray:
+    """Of the logs of triples laid one after another, the sum inside each."""
+    if not n:
+        return np.zeros(0)
+    x = np.concatenate([logs, [0.0]]).reshape(n, 3)
+    return x[:, 0] + x[:, 1]
 
 
 class Repair:
     """Repairs texts; see the module's text."""
 
-    def __init__(self, words: WordModel, chars: PairModel):
-        self.words, self.chars = words, chars
+    def __init__(self, words: WordModel, chars: PairModel, han: dict[str, float] | None = None):
+        self.words, self.chars, self.han = words, chars, han or {}
         self.options: dict[str, list[tuple[str, float]]] = {}
         self.sure: set[str] = set()  # tokens, as they stand in lines, without another candidate
+        self.genuine: dict[str, float] = {}  # counts of doubtful tokens less what misreading explains
         self.logs: dict[str, float] = {}
 
     # -- words
@@ -146,36 +278,16 @@ class Repair:
         """(word, log of the channel's probability); the token as it is comes first."""
         if (known := self.options.get(token)) is not None:
             return known
-        out = [(token, 0.0)]
+        out, w = [(token, 0.0)], self.words
         low = token.lower()
-        parts = _WORD.findall(low)
-        own = min((self.words.count(p) for p in parts), default=0.0) if re.fullmatch(r"[^\W\d_]+(?:[-'’‐‑·.][^\W\d_]+)*", low) else 0.0
-        if any(c.isalpha() for c in low) and len(low) >= 3 and RATIO * own <= self.words.most and not _MARKUP.search(token) and not any("㐀" <= c for c in low):
-            seen, found = {low}, {}
-            layer = [(low, 0.0)]
-            for depth in range(3 if len(low) <= 24 else 1):
-                new = []
-                for x, p in layer:
-                    for bad, goods in CONFUSIONS.items():
-                        at = x.find(bad)
-                        while at >= 0:
-                            for good in goods:
-                                y = x[:at] + good.lower() + x[at + len(bad) :]
-                                if y not in seen and len(seen) < 4000:
-                                    seen.add(y)
-                                    new.append((y, p + SHARE))
-                                    ps = _WORD.findall(y)
-                                    if ps and re.fullmatch(r"[^\W\d_]+(?:[-'’‐‑][^\W\d_]+)*", y):
-                                        # of a compound only the changed parts speak
-                                        n = min(self.words.count(q) for q in ps)
-                                        if n >= RATIO * max(1.0, own) and max(map(len, ps)) >= 3:
-                                            found[y] = max(found.get(y, -99.0), p + SHARE)
-                            at = x.find(bad, at + 1)
-                layer = new
-                if found:
-                    break
-            for y, p in found.items():
+        own = min((max(w.count(p), w.rare) for p in _WORD.findall(low)), default=0.0) if _PLAIN.fullmatch(low) else 0.0
+        if any(c.isalpha() for c in low) and len(low) >= 3 and RATIO * own <= w.most and not _MARKUP.search(token) and not any("㐀" <= c for c in low):
+            explained = 0.0
+            for y, (p, _) in w.readings(low, own).items():
                 out.append((self.cased(token, y), p))
+                explained += min(map(w.count, _WORD.findall(y))) * math.exp(p)
+            if len(out) > 1 and len(self.genuine) < 1 << 17:
+                self.genuine[token] = max(0.0, w.count(low) - explained)
         if len(self.options) < 1 << 17:
             self.options[token] = out
         return out
@@ -186,12 +298,12 @@ class Repair:
 
     def log(self, word: str, before: str) -> float:
         ps = _WORD.findall(word.lower()) or [""]
-        n = self.words.count(ps[0])
-        out = np.log((n + 0.01) / self.words.total)
+        n = self.genuine.get(word, self.words.count(ps[0]))
+        out = math.log((n + 0.01) / self.words.total)
         if before:
             pair = self.words.pair(before, ps[0])
-            out = np.log(0.3 * np.exp(out) + 0.7 * (pair / (self.words.count(before) + 1.0)) + 1e-12)
-        return out + sum(np.log((self.words.count(p) + 0.01) / self.words.total) / 2 for p in ps[1:])
+            out = math.log(0.3 * math.exp(out) + 0.7 * (pair / (self.words.count(before) + 1.0)) + 1e-12)
+        return out + sum(math.log((self.words.count(p) + 0.01) / self.words.total) / 2 for p in ps[1:])
 
     def decode(self, line: str) -> tuple[str, int]:
         """Viterbi over the candidates of the line's words; lines without a doubtful word aren't touched."""
@@ -257,7 +369,7 @@ class Repair:
                 row = []
                 for n, x in enumerate(o):
                     t = max((best[j] + self.log_han(y, x), j) for j, y in enumerate(before))
-                    row.append((t[0] + (SHARE if n and x != o[0] else 0.0), t[1]))
+                    row.append((t[0] + (self.han.get(o[0], SHARE) if n and x != o[0] else 0.0), t[1]))
                 best, before = [r[0] for r in row], o
                 back.append(row)
             at, fixed = 0, []
@@ -272,8 +384,7 @@ class Repair:
 
     def log_han(self, a: str, b: str) -> float:
         if (known := self.logs.get(a + b)) is None:
-            k = int(pair_buckets(np.array([ord(a), ord(b)], np.uint32))[0])
-            known = float(np.log((self.chars.pairs[k] + 0.02) / (self.chars.singles[ord(a) & 0xFFFF] + 20.0)))
+            known = float(self.chars.log_codes(np.array([ord(a), ord(b)], np.uint32))[0])
             if len(self.logs) < 1 << 18:
                 self.logs[a + b] = known
         return known
@@ -282,7 +393,7 @@ class Repair:
 
     def furniture(self, line: str, headers: list[tuple[str, str]]) -> bool:
         """headers: each folded, and without anything but letters and digits."""
-        if len(line) > 160 or not line.strip():
+        if not line.strip():
             return False
         if _PAGE.match(line):
             return True
@@ -396,13 +507,13 @@ class Repair:
         return m[0]
 
 
-def repair_column(df: DataFrame, text: str, keys: tuple[str, ...], headers: tuple[str, ...], words: WordModel, chars: PairModel, only_noisy: bool = False) -> DataFrame:
+def repair_column(df: DataFrame, text: str, keys: tuple[str, ...], headers: tuple[str, ...], words: WordModel, chars: PairModel, han: dict[str, float] | None = None, only_noisy: bool = False) -> DataFrame:
     """keys, repaired, edits (map of kind to number). headers: columns whose text a running header may repeat."""
-    held = df.sparkSession.sparkContext.broadcast((words, chars))
+    held = df.sparkSession.sparkContext.broadcast((words.lexicon, words.pairs, words.total, words.shares, chars, han))
 
     def make():
-        words_, chars_ = held.value
-        r = Repair(WordModel(words_.one, words_.two, words_.pairs), chars_)
+        lexicon, pairs, total, shares, chars_, han_ = held.value
+        r = Repair(WordModel(lexicon, pairs, total, shares), chars_, han_)
 
         def batch(c: dict[str, list]) -> dict[str, list]:
             out = {k: [] for k in (*keys, "repaired", "edits")}
@@ -426,9 +537,10 @@ def p3_repaired(spark: SparkSession, folder: str) -> DataFrame:
     """Bodies and sections with scan noise, and the text they become; a row delivered again comes again."""
     docs = spread(table(spark, folder, "documents", "text", "content_md"))
     words, chars = word_model(docs, "text", "content_md"), pair_model(docs, "text")
+    han = han_shares(docs, "content_md", chars)
     d = table(spark, folder, "documents").selectExpr("'document' item_kind", "cast(doc_id as string) item_key", "title", "source_institution", "content_md content")
     s = table(spark, folder, "sections").selectExpr("'section' item_kind", "cast(section_id as string) item_key", "title", "source_institution", "content")
-    return repair_column(spread(d).unionByName(spread(s)), "content", ("item_kind", "item_key"), ("title", "source_institution"), words, chars, only_noisy=True)
+    return repair_column(spread(d).unionByName(spread(s)), "content", ("item_kind", "item_key"), ("title", "source_institution"), words, chars, han, only_noisy=True)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tessella.llm import chars, encoding, markup, residue, scan
+from tessella.llm.counts import Counts
 
 PROSE = [
     "Patients should be told that treatment may affect walking distance during the first weeks.", "Sjögren’s and Ménière’s registries report 3.6 ± 0.5 °C at each visit.", "La réévaluation du traitement est conseillée après la première dose.", "Für ältere Menschen wird frühe Mobilisierung empfohlen, auch während der Behandlung.",
@@ -55,25 +56,27 @@ def test_garbled_text_is_restored(pairs, how):
         bad = text.encode(to).decode(wrong)
     except UnicodeDecodeError:
         bad = "".join(bytes([b]).decode(wrong, "ignore") or chr(b) for b in text.encode(to))
-    chain, ratio, back = encoding.evidence(bad, pairs)
+    chain, ratio, back = encoding.evidence(bad, pairs)[0]
     assert back == text and ratio > 5
 
 
 def test_twice_garbled(pairs):
     once = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in PROSE[2].encode())
     twice = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in once.encode())
-    assert encoding.evidence(twice, pairs)[2] == PROSE[2]
+    assert encoding.evidence(twice, pairs)[0][2] == PROSE[2]
 
 
 @pytest.mark.parametrize("text", [PROSE[1], PROSE[4], "SÃO BRUMÓ AÇÃO registry: Ångström-level imaging, ½ dose arms.", "ÄRZTLICHE ÜBERPRÜFUNG: GRÖßE UND GEWICHT", "pdf_text_mojibake", "第11页 共88页", ""])
 def test_real_characters_stay(pairs, text):
     e = encoding.evidence(text, pairs)
-    assert e is None or e[1] < 6
+    assert not e or e[0][1] < 6
 
 
 def test_weak_evidence_is_pooled(spark):
+    weak = encoding.signature([("utf-8 as windows", 4.2, "")], False)
+
     def lines(n):
-        return spark.createDataFrame([("document", f"k{i}", "s", 0, "utf-8 as windows", 4) for i in range(n)], "item_kind string, item_key string, source string, line int, chain string, ratio int")
+        return spark.createDataFrame([("document", f"k{i}", "s", 0, weak) for i in range(n)], "item_kind string, item_key string, source string, line int, signature string")
 
     sizes = spark.createDataFrame([("s", "document", 200)], "source string, item_kind string, records long")
     alone, many = (encoding.posteriors(lines(n), sizes).first().posterior for n in (1, 60))
@@ -81,6 +84,14 @@ def test_weak_evidence_is_pooled(spark):
     assert encoding.posteriors(lines(0), sizes).count() == 0
 
 
+def test_clear_lines_decide_between_chains():
+    """A line that two chains restore alike goes to the chain that the source's other lines show."""
+    both = encoding.signature([("utf-8 as cp437", 6, ""), ("utf-8 as cp850", 6, "")], False)
+    for clear in ("utf-8 as cp437", "utf-8 as cp850"):
+        post, chain = encoding.maximized([both, encoding.signature([(clear, 20, "")], False), encoding.signature([], True)], np.array([3.0, 40.0, 1.0]), 100.0)
+        assert post.min() > 0.5 and [encoding.names()[k] for k in chain] == [clear, clear, encoding.LOST]
+
+
 def test_lost_and_mixed_lines(pairs):
     got = encoding.suspicious_lines(["fine\nr�p�ter\n", "ascii", ""], pairs)
     assert [n for n, _ in got[0]] == [1] and 1 not in got
@@ -162,14 +173,39 @@ def test_no_scan_noise(repair, text):
 @pytest.mark.parametrize("size", [1, 3, 50, 5000])
 def test_scan_errors_at_any_size(pairs, size):
     counts = {"after": 23_661, "aftcr": 46, "every": 8_519, "evcry": 15, "house": 9_000, "honse": 900, "thoughtfulness": 1}
-    one, two = np.zeros(scan.WORDS, np.float32), np.zeros(1 << 20, np.float32)
-    for w, n in counts.items():
-        a, b = scan._hash(w)
-        one[a], two[b] = n * size, n * size
-    r = scan.Repair(scan.WordModel(one, two, np.zeros(scan.PAIRS, np.float32)), pairs)
+    r = scan.Repair(scan.WordModel({w: float(n * size) for w, n in counts.items()}, Counts(np.zeros(0, np.uint64), np.zeros(0)), sum(counts.values()) * size), pairs)
     assert r.repair("Aftcr treatment, evcry honse with t h o u g h t f u l n e s s here.")[0] == "After treatment, every honse with thoughtfulness here."
 
 
+def test_readings_equal_brute_force(pairs):
+    """All words of a lexicon that any number of confusions turns into the token, found by undoing every one of them."""
+    lexicon = dict.fromkeys(["house", "honest", "kill", "hill", "lid", "modern", "little", "told", "title", "minimum", "him", "dam", "clam"], 1000.0)
+    m = scan.WordModel(lexicon, Counts(np.zeros(0, np.uint64), np.zeros(0)), 13_000.0)
+
+    def misread(x):
+        """All ways to misread a word, each character once."""
+        if not x:
+            yield ""
+        for bad, goods in scan.CONFUSIONS.items():
+            for good in filter(x.startswith, filter(None, goods)):
+                yield from (bad + rest for rest in misread(x[len(good) :]))
+        if x:
+            yield from (x[0] + rest for rest in misread(x[1:]))
+
+    for word in lexicon:
+        for token in set(misread(word)) - set(lexicon):
+            if len(token) >= 3 and any(c.isalpha() for c in token):
+                assert word in m.readings(token, 1.0), (word, token)
+    assert m.readings("rnininnurn" * 40, 1.0) == {} and "title" in m.readings("tit|e", 1.0)
+
+
+def test_confusions_are_estimated(spark):
+    d = spark.createDataFrame([(" ".join(["the patient should rest here before the treatment"] * 400 + ["thc paticnt bcforc"] * 3),)] * 40, "text string")
+    m = scan.word_model(d, "text")
+    assert m.share("c", "e") > m.share("|", "l") and m.count("patient") == 16_000 and m.pair("the", "patient") == 16_000
+    assert scan.Repair(m, None).repair("Give thc paticnt rest.", [])[0] == "Give the patient rest."
+
+
 def test_scan_column(spark, frame, pairs):
     d = spark.createDataFrame([("a", None, "t", 1), ("b", "Page 3", None, 1), ("b", "Page 3", None, 1), ("c", "clean text " * 9000, "t", 1)], "k string, content string, title string, edits int")
     got = scan.repair_column(d, "content", ("k",), ("title",), scan.word_model(frame, "text"), pairs, only_noisy=True).collect()
