@@ -1,10 +1,12 @@
 """Problem 6: left-over HTML, wiki or LaTeX markup in Markdown bodies and chunks, to clean Markdown.
 
-The standard library's streaming HTML parser gives the events; signs that only resemble a tag or an entity are shielded
-from it first, by the names of HTML's elements and entities. Each source line has a text-to-tag ratio; smoothed with a
-Gaussian, the ratios are clustered in two around a threshold, in texts of any size. Outside content regions, lines go that
-hold nothing but links; lines of tables, lists, code, formulas, headings and prose never do. Wiki and LaTeX constructs are rewritten by a scanner. Headings, lists, tables and code blocks come out as
-Markdown, formulas as $...$; scripts, styles, comments, citations and reference marks go.
+A text is read as a stream of events: the standard library's streaming HTML parser gives tags, comments and entities, with signs
+that only resemble one shielded from it by the names of HTML's elements and entities; scanners give the constructs of
+wikis and LaTeX. A text holds markup if its stream has an event, and of the kinds of its events. From the events each source
+line has a ratio of text to tags; smoothed with a Gaussian, the ratios are clustered in two around a threshold, in every text
+with markup, whatever its size. Outside content regions, lines go that hold nothing but links; lines of tables, lists, code,
+formulas, headings and prose never do. Headings, lists, tables and code blocks come out as Markdown, formulas as $...$;
+scripts, styles, comments, citations and reference marks go.
 
 Defined results: null stays null, and text without markup comes out unchanged, whatever its length. Fenced and inline
 code is not read as markup. Page markers <!-- page: N --> stay. Unclosed tags end with the text. Markup alone gives an empty text.
@@ -12,8 +14,10 @@ code is not read as markup. Page markers <!-- page: N --> stay. Unclosed tags en
 
 from __future__ import annotations
 
+import html
 import html.entities
 import re
+from bisect import bisect_left
 from html.parser import HTMLParser
 
 import numpy as np
@@ -44,31 +48,10 @@ MATH = re.compile(r"\\\[.*?\\\]|\\\(.*?\\\)|\$\$[^$]+\$\$|\$[^$\n]*(?:\\[A-Za-z]
 ROW = re.compile(r"^[^|\n]*&[^|\n]*\\\\[ \t]*$", re.M)
 CODE = re.compile(r"^(```|~~~)[^\n]*\n.*?(?:^\1[ \t]*$|\Z)|`[^`\n]+`", re.M | re.S)
 _WIKI_SIGNS = ("[[", "{{", "''", "\n==", "\n{|", "\n|}", "\n|-", "!!", "\n**")
-
-
-def _bare(text: str) -> str:
-    return CODE.sub(lambda m: " " * len(m[0]), text) if "`" in text or "~~~" in text else text
-
-
-def kinds(text: str | None) -> set[str]:
-    """Which of html, wiki and latex markup a text holds."""
-    out: set[str] = set()
-    if not text:
-        return out
-    wiki = any(x in text for x in _WIKI_SIGNS) or text.startswith(("==", "{|", "|}", "|-", "**"))
-    tag, entity, latex, dollar = "<" in text, "&" in text, "\\" in text, "$" in text
-    if not (wiki or tag or entity or latex or dollar):
-        return out
-    bare = _bare(text.replace("\r\n", "\n"))
-    if tag and (any(m[1].lower() in ELEMENTS for m in TAG.finditer(bare)) or COMMENT.search(bare)):
-        out.add("html")
-    elif entity and any(m[0][1] == "#" or m[0][1:] in html.entities.html5 for m in ENTITY.finditer(bare)):
-        out.add("html")
-    if wiki and WIKI.search(bare):
-        out.add("wiki")
-    if latex and (MATH.search(bare) or ROW.search(bare) or any(m[1] in COMMANDS for m in COMMAND.finditer(bare))) or dollar and MATH.search(bare):
-        out.add("latex")
-    return out
+_WIKI_STARTS = ("==", "{|", "|}", "|-", "**")
+_PAGE = re.compile(r"<!--\s*page:\s*(\d+)\s*-->")
+_SHIELD = re.compile(rf"{_PAGE.pattern}|(?P<comment>(?si:{COMMENT.pattern}))|{TAG.pattern}|{ENTITY.pattern}|<|&")
+_MARKS = {"\0l\0": "<", "\0a\0": "&"}
 
 
 _SUP, _SUB = str.maketrans("0123456789+-", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻"), str.maketrans("0123456789+-", "₀₁₂₃₄₅₆₇₈₉₊₋")
@@ -84,6 +67,7 @@ class _Markdown(HTMLParser):
         self.out: list[str] = []
         self.text: dict[int, int] = {}
         self.tags: dict[int, int] = {}
+        self.events = 0
         self.skip = self.pre = 0
         self.lists: list[str] = []
         self.row: list[str] | None = None
@@ -110,9 +94,24 @@ class _Markdown(HTMLParser):
             tail = len(self.out[-1]) - len(self.out[-1].rstrip("\n")) if self.out[-1].strip("\n") else n
             self.out.append("\n" * max(0, n - tail))
 
-    def count(self, tag: str, step: int) -> None:
+    def event(self) -> int:
+        """Counted, with the line it is on."""
         line = self.getpos()[0]
         self.tags[line] = self.tags.get(line, 0) + 1
+        self.events += 1
+        return line
+
+    def handle_comment(self, data: str) -> None:
+        self.event()
+
+    def handle_decl(self, decl: str) -> None:
+        self.event()
+
+    def handle_pi(self, data: str) -> None:
+        self.event()
+
+    def count(self, tag: str, step: int) -> None:
+        line = self.event()
         if tag not in _VOID:
             self.depth[line] = self.depth.get(line, 0) + step
         if tag == "a" or tag in _BREAK or tag in ("li", "tr", "td", "th"):  # a link left open ends with its block
@@ -185,7 +184,7 @@ class _Markdown(HTMLParser):
         if tag in ("br", "hr"):
             self.handle_starttag(tag, attrs)
         else:
-            self.tags[self.getpos()[0]] = self.tags.get(self.getpos()[0], 0) + 1
+            self.event()
 
     def handle_data(self, data: str) -> None:
         if not self.skip:
@@ -200,9 +199,11 @@ class _Markdown(HTMLParser):
             self.write(data)
 
     def handle_entityref(self, name: str) -> None:
+        self.events += 1
         self.handle_data(html.unescape(f"&{name};").replace("\xa0", " "))
 
     def handle_charref(self, name: str) -> None:
+        self.events += 1
         self.handle_data(html.unescape(f"&#{name};").replace("\xa0", " "))
 
 
@@ -225,32 +226,85 @@ def content_lines(text: dict[int, int], tags: dict[int, int], sigma: float = 1.0
     return smooth > min((low + high) / 2, smooth.std())
 
 
-def _html(text: str) -> str:
+def _parsed(text: str) -> _Markdown:
+    """The parser after it has read a text, in which signs that only resemble a tag or an entity are shielded."""
+
     def shield(m: re.Match[str]) -> str:
         x = m[0]
+        if m["comment"]:
+            return x
         if x[0] == "&":
-            return x if ENTITY.fullmatch(x) and (x[1] == "#" or x[1:] in html.entities.html5) else "&amp;" + x[1:]
-        if x.startswith("<!--"):
-            return "\0page " + re.search(r"\d+", x)[0] + "\0"
+            return x if len(x) > 1 and (x[1] == "#" or x[1:] in html.entities.html5) else "\0a\0" + x[1:]
+        if page := _PAGE.fullmatch(x):
+            return f"\0page {page[1]}\0"
         t = TAG.fullmatch(x)
-        return x if t and t[1].lower() in ELEMENTS else "&lt;" + x[1:].replace("&", "&amp;")
+        return x if t and t[1].lower() in ELEMENTS else "\0l\0" + x[1:].replace("&", "\0a\0")
+
+    p = _Markdown()
+    p.feed(_SHIELD.sub(shield, text))
+    p.close()
+    p.end_row()
+    return p
+
+
+def _unshielded(text: str) -> str:
+    for mark, sign in _MARKS.items():
+        text = text.replace(mark, sign)
+    return re.sub("\0page (\\d+)\0", r"<!-- page: \1 -->", text)
+
+
+class Stream:
+    """The events of a text without its code: of which kinds of markup, how many on each line, and which lines are links alone."""
+
+    def __init__(self, text: str):
+        self.kinds: set[str] = set()
+        self.html: _Markdown | None = None
+        at: list[tuple[int, int]] = []  # where scanners' events start and end
+        if any(x in text for x in _WIKI_SIGNS) or text.startswith(_WIKI_STARTS):
+            at += [m.span() for m in WIKI.finditer(text)]
+            if at:
+                self.kinds.add("wiki")
+        if "\\" in text or "$" in text:
+            found = [m.span() for p in (MATH, ROW) for m in p.finditer(text)] + [m.span() for m in COMMAND.finditer(text) if m[1] in COMMANDS]
+            at += found
+            if found:
+                self.kinds.add("latex")
+        if "<" in text or "&" in text:
+            self.html = _parsed(text)
+            if self.html.events:
+                self.kinds.add("html")
+        self.text, self.tags = (self.html.text, self.html.tags) if self.html else ({}, {})
+        if not self.kinds:
+            return
+        breaks = [m.start() for m in re.finditer("\n", text)]
+        if not self.html:
+            self.text = {i: len(x.strip()) for i, x in enumerate(text.split("\n"), 1)}
+        for a, b in at:
+            line = bisect_left(breaks, a) + 1
+            self.tags[line] = self.tags.get(line, 0) + 1
+            self.text[line] = max(0, self.text.get(line, 0) - (b - a))
+
+    def outside(self) -> set[int]:
+        """Lines of nothing but links that don't belong to content."""
+        keep, p = content_lines(self.text, self.tags), self.html
+        links = {i for i, n in p.linked.items() if n and n == p.text[i] and i not in p.held and not p.depth.get(i)} if p else set()
+        return {i for i in links if not keep[i - 1]}
 
-    text = COMMENT.sub("", text)
-    text = re.sub(rf"<!--\s*page:\s*\d+\s*-->|{TAG.pattern}|{ENTITY.pattern}|<|&", shield, text)
 
-    def parsed(x: str) -> _Markdown:
-        p = _Markdown()
-        p.feed(x)
-        p.close()
-        p.end_row()
-        return p
+def kinds(text: str | None) -> set[str]:
+    """Which of html, wiki and latex markup a text holds: those of its events."""
+    return Stream(_bare(text.replace("\r\n", "\n"))).kinds if text and any(x in text for x in _SIGNS) else set()
+
+
+_SIGNS = ("<", "&", "\\", "$", "[[", "{{", "''", "==", "{|", "|}", "|-", "!!", "**")
+
 
-    p = parsed(text)
-    if links := {i for i, n in p.linked.items() if n and n == p.text[i] and i not in p.held and not p.depth.get(i)}:
-        keep = content_lines(p.text, p.tags)
-        if drop := {i for i in links if not keep[i - 1]}:
-            p = parsed("\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop))
-    return re.sub("\0page (\\d+)\0", r"<!-- page: \1 -->", "".join(p.out))
+def _bare(text: str) -> str:
+    return CODE.sub(lambda m: " " * len(m[0]), text) if "`" in text or "~~~" in text else text
+
+
+def _html(text: str) -> str:
+    return _unshielded("".join(_parsed(text).out))
 
 
 _UNITS = {"milli": "m", "micro": "µ", "kilo": "k", "gram": "g", "litre": "L", "liter": "L", "metre": "m", "meter": "m", "second": "s", "mole": "mol"}
@@ -312,29 +366,49 @@ def _wiki(text: str) -> str:
 
 def clean(text: str | None) -> str | None:
     """The text without markup; see the module's text."""
-    of = kinds(text)
-    if not of:
-        return text
-    text = text.replace("\r\n", "\n")
+    return read(text)[1]
+
+
+def read(text: str | None) -> tuple[set[str], str | None]:
+    """(kinds of markup, the text without it)."""
+    if not text or not any(x in text for x in _SIGNS):
+        return set(), text
+    source = text.replace("\r\n", "\n")
     held: list[str] = []
 
     def hold(m: re.Match[str]) -> str:
         held.append(m[0])
-        return f"\0c{len(held) - 1}\0"
+        # as many lines as before, so that lines keep their numbers
+        return f"\0c{len(held) - 1}\0" + "\n" * m[0].count("\n")
 
-    text = CODE.sub(hold, text)
+    new = CODE.sub(hold, source)
+    stream = Stream(new)
+    of = stream.kinds
+    if not of:
+        return of, text
+    if drop := stream.outside():
+        new = "\n".join(x for i, x in enumerate(new.split("\n"), 1) if i not in drop)
     if "latex" in of:
-        text = _latex(text)
+        new = _latex(new)
     if "wiki" in of:
-        text = _wiki(text)
+        new = _wiki(new)
     if "html" in of:
-        text = _html(text)
-        again = kinds(text) - {"html"}  # markup that was written with entities
-        text = _wiki(text) if "wiki" in again else text
-        if any(m[1].lower() in ELEMENTS for m in TAG.finditer(text)):
-            text = _html(text)
-    text = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text))
-    return re.sub("\0c(\\d+)\0", lambda m: held[int(m[1])], text).strip("\n")
+        new = _unshielded("".join(stream.html.out)) if of == {"html"} and not drop else _html(new)
+        if "wiki" in Stream(new).kinds:  # markup that was written with entities
+            new = _wiki(new)
+        if any(m[1].lower() in ELEMENTS for m in TAG.finditer(new)):
+            new = _html(new)
+    new = re.sub("\0c(\\d+)\0(\n*)", lambda m: held[int(m[1])] + m[2][held[int(m[1])].count("\n") :], re.sub(r"[ \t]+\n", "\n", new))
+    return of, re.sub(r"\n{3,}", "\n\n", new).strip("\n") if not held else _squeezed(new).strip("\n")
+
+
+def _squeezed(text: str) -> str:
+    """Without more than one blank line at a place, but in code."""
+    out, at = [], 0
+    for m in CODE.finditer(text):
+        out += [re.sub(r"\n{3,}", "\n\n", text[at : m.start()]), m[0]]
+        at = m.end()
+    return "".join(out) + re.sub(r"\n{3,}", "\n\n", text[at:])
 
 
 def clean_column(df: DataFrame, text: str, *keys: str, only_marked: bool = False) -> DataFrame:
@@ -342,9 +416,9 @@ def clean_column(df: DataFrame, text: str, *keys: str, only_marked: bool = False
 
     def make():
         def batch(c: dict[str, list]) -> dict[str, list]:
-            of = [",".join(sorted(kinds(x))) for x in c["__text"]]
-            take = [i for i, k in enumerate(of) if k or not only_marked]
-            return {k: [c[k][i] for i in take] for k in keys} | {"markup": [of[i] for i in take], "cleaned": [clean(c["__text"][i]) if of[i] else c["__text"][i] for i in take]}
+            got = [read(x) for x in c["__text"]]
+            take = [i for i, (k, _) in enumerate(got) if k or not only_marked]
+            return {k: [c[k][i] for i in take] for k in keys} | {"markup": [",".join(sorted(got[i][0])) for i in take], "cleaned": [got[i][1] for i in take]}
 
         return batch
 

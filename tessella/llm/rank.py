@@ -116,7 +116,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_ranked(spark: SparkSession, folder: str) -> DataFrame:
-    """Each candidate with its combined score and its percentile in the query's order (1 for the first)."""
+    """Each candidate with its combined score, a weighted mean of normal scores; the order is by it, then the id."""
     return ranked(spark, folder).select("query_id", "chunk_id", "view_id", "combined")
 
 

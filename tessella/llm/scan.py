@@ -298,10 +298,13 @@ class Repair:
 
     def log(self, word: str, before: str) -> float:
         ps = _WORD.findall(word.lower()) or [""]
-        n = self.genuine.get(word, self.words.count(ps[0]))
+        n = all_ = self.words.count(ps[0])
+        if (own := self.genuine.get(word)) is not None:
+            n = min(n, own)
         out = math.log((n + 0.01) / self.words.total)
         if before:
-            pair = self.words.pair(before, ps[0])
+            # of its pairs as large a share is genuine as of the word
+            pair = self.words.pair(before, ps[0]) * (n / all_ if all_ else 0.0)
             out = math.log(0.3 * math.exp(out) + 0.7 * (pair / (self.words.count(before) + 1.0)) + 1e-12)
         return out + sum(math.log((self.words.count(p) + 0.01) / self.words.total) / 2 for p in ps[1:])
 

@@ -4,8 +4,8 @@ A token is a run of ASCII letters or digits, which one hyphen or apostrophe may
 from U+4E00 to U+9FFF. Before each token stands a gap, and the gap gives the strength of a cut there: paragraph, list
 item or table row, line, sentence, clause, space, nothing. A piece starts `overlap` tokens before the cut that ended
 the piece before it; a sparse table of range maxima over the strengths finds the strongest cut in the window of
-permissible lengths, the rightmost among equals. The window is first the upper half of the lengths; only where that
-holds no sentence end, all lengths.
+permissible lengths, the rightmost among equals. Permissible is every length from a quarter of the way between overlap and limit, so
+that each piece brings text of its own; only where that window holds no sentence end or stronger cut, shorter lengths are asked.
 
 Defined results: null gives no piece; a text of at most `limit` tokens, empty and blank ones among them, gives itself as
 one piece; characters before the first and after the last token belong to the first and last piece. Joining
@@ -94,10 +94,11 @@ def pieces(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> list
             out.append((char_start, char_new, len(text), n - start))
             return out
         high = start + limit
-        low = max(new + 1, start + overlap + 1, start + (limit + overlap) // 2)
-        at = best(min(low, high), high)
+        least = max(new + 1, start + overlap + 1)
+        at = best(min(high, max(least, start + overlap + (limit - overlap) // 4)), high)
         if best.values[at] < SENTENCE:
-            at = best(max(new + 1, start + overlap + 1), high) if best.values[best(max(new + 1, start + overlap + 1), high)] > best.values[at] else at
+            shorter = best(least, high)
+            at = shorter if best.values[shorter] > best.values[at] else at
         end = cut_char(text, spans[at - 1][1], spans[at][0])
         out.append((char_start, char_new, end, at - start))
         new, start = at, at - overlap

@@ -28,6 +28,12 @@ def test_boundaries_are_natural():
         assert text[:e].endswith("\n") or text[:e].rstrip().endswith(".")
 
 
+def test_the_strongest_cut_wins():
+    """A paragraph's end before a later sentence's end, in any piece but the last."""
+    text = ("One sentence of seven words stands here. " * 10 + "\n\n") * 6
+    assert all(text[:e].endswith("\n\n") for *_, e, _ in split.pieces(text, 120, 10)[:-1])
+
+
 def test_range_maxima():
     rng = np.random.default_rng(0)
     v = rng.integers(0, 5, 200)

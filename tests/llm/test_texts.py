@@ -30,8 +30,8 @@ def test_pair_counts(pairs):
 
 
 @pytest.fixture(scope="module")
-def prose(frame):
-    return residue.prose_model(frame, "text")
+def prose(spark, tiny):
+    return residue.prose_model(residue.prose_columns(spark.read.parquet(f"{tiny}/documents.parquet")), "text", "headings")
 
 
 FOUND = ["Lorem ipsum dolor sit amet", "Consensus on ${title}: draft", "Treatment of [topic] in primary care", "Access Denied.", "Please enable JavaScript to view this page", "请启用JavaScript后继续浏览", "HTTP 502: resource unavailable", "XX病诊疗规范（XXXX年版）", "TITLE TBD", "{{abstract | upper}}",
@@ -200,9 +200,9 @@ def test_readings_equal_brute_force(pairs):
 
 
 def test_confusions_are_estimated(spark):
-    d = spark.createDataFrame([(" ".join(["the patient should rest here before the treatment"] * 400 + ["thc paticnt bcforc"] * 3),)] * 40, "text string")
+    d = spark.createDataFrame([(" ".join(["the patient should rest here before the treatment"] * 400 + ["thc patient should rest", "here bcforc the treatmcnt", "the paticnt should rest herc"]),)] * 40, "text string")
     m = scan.word_model(d, "text")
-    assert m.share("c", "e") > m.share("|", "l") and m.count("patient") == 16_000 and m.pair("the", "patient") == 16_000
+    assert m.share("c", "e") > m.share("|", "l") and m.count("patient") == 16_040 and m.pair("the", "patient") == 16_000
     assert scan.Repair(m, None).repair("Give thc paticnt rest.", [])[0] == "Give the patient rest."
 
 
@@ -222,3 +222,15 @@ def test_queries_have_their_columns(spark, tiny, name):
     assert df.columns == want.get(name, ["item_kind", "item_key"])
     rows = [tuple(map(str, r)) for r in df.collect()]
     assert rows and len(rows) == len(set(rows))
+
+
+def test_residue_of_unseen_phrases(prose):
+    """Fitted on half of the phrases: recall on the other half, and precision on prose."""
+    from tessella.llm import seeds
+
+    halves = [seeds.halves(x) for x in (seeds.filler(), seeds.notices())]
+    model = residue.Residue(prose, halves[0][0], halves[1][0])
+    for _, rest in halves:
+        got = model.residue([x.replace("<n>", "47") for x in rest])
+        assert sum(map(bool, got)) >= 0.97 * len(rest)
+    assert not any(model.residue(PROSE[:8]))
