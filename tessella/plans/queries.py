@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tessella.functions import records as R
 from tessella.functions import text as X
 from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, views
-from tessella.plans.hybrid import Request, retrieve_chunks, search_documents, with_fallback
 from tessella.sources import files, ingest
 from tessella.sources.tables import spread, table
 
@@ -59,6 +58,11 @@ def _chunks(s: SparkSession, d: str, *columns: str) -> DataFrame:
     return ingest.latest(spread(table(s, d, "chunks", *need)), ["chunk_id"], "ingested_at")
 
 
+def _raw(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Chunks as delivered, for operators that reduce ids themselves after texts have become numbers."""
+    return spread(table(s, d, "chunks", *dict.fromkeys(["chunk_id", "ingested_at", *columns])))
+
+
 CHUNKS_SQL = "ch AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, ingested_at DESC)"
 
 # -- filters and lookups
@@ -316,18 +320,22 @@ tf AS (SELECT *, len(t) AS dl, {tf} FROM tok), st AS (SELECT count(*) AS n, avg(
 hits AS (SELECT {id_}{extra}, round({score}, 6) AS score FROM tf, st WHERE ({some}){' AND ' + where if where else ''}{f' ORDER BY score DESC, {id_} LIMIT {k}' if k else ''})"""
 
 
+def _text():
+    return F.concat_ws(" ", "title", "content")
+
+
 BM25_TERMS = ["telephone", "follow-up", "for", "chronic", "heart", "failure"]
 
 
 @query("bm25_topk", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
 def _(s, d):
-    return search.bm25(_chunks(s, d, "title", "content"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50).select("chunk_id", "score")
+    return search.bm25(_raw(s, d, "title", "content"), QUERY, _text(), "chunk_id", 50, at="ingested_at").select("chunk_id", "score")
 
 
 @query("bm25_filtered", f"WITH {CHUNKS_SQL}, {_bm25_sql('''document_kind = 'guideline' AND NOT is_reference_section''', 50, BM25_TERMS)} SELECT chunk_id, score FROM hits")
 def _(s, d):
     only = F.coalesce((F.col("document_kind") == "guideline") & ~F.col("is_reference_section"), F.lit(False))
-    return search.bm25(_chunks(s, d, "title", "content", "document_kind", "is_reference_section"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, only=only).select("chunk_id", "score")
+    return search.bm25(_raw(s, d, "title", "content", "document_kind", "is_reference_section"), QUERY, _text(), "chunk_id", 50, only=only, at="ingested_at").select("chunk_id", "score")
 
 
 _BOOST_SQL = "CASE " + " ".join(f"WHEN chunk_type = '{t}' THEN {v}::DOUBLE" for t, v in BOOSTS.items()) + " ELSE 1.0 END"
@@ -335,20 +343,20 @@ _BOOST_SQL = "CASE " + " ".join(f"WHEN chunk_type = '{t}' THEN {v}::DOUBLE" for
 
 @query("bm25_type_boost", f"WITH {CHUNKS_SQL}, {_bm25_sql('', 50, BM25_TERMS, extra=', chunk_type')} SELECT chunk_id, round(score * {_BOOST_SQL}, 6) AS score FROM hits ORDER BY score DESC, chunk_id LIMIT 10")
 def _(s, d):
-    x = search.bm25(_chunks(s, d, "title", "content", "chunk_type"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", None, keep=["chunk_type"])
+    x = search.bm25(_raw(s, d, "title", "content", "chunk_type"), QUERY, _text(), "chunk_id", None, keep=["chunk_type"], at="ingested_at")
     return fusion.boosted(x, "chunk_type", BOOSTS, 10, "chunk_id").select("chunk_id", "score")
 
 
 @query("overfetch_dedup", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', doc_id')} SELECT doc_id, max(score) AS score FROM hits GROUP BY doc_id ORDER BY score DESC, arg_min(chunk_id, (-score, chunk_id)) LIMIT 20""")
 def _(s, d):
-    x = search.bm25(_chunks(s, d, "title", "content", "doc_id"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["doc_id"])
+    x = search.bm25(_raw(s, d, "title", "content", "doc_id"), QUERY, _text(), "chunk_id", 60, keep=["doc_id"], at="ingested_at")
     return fusion.unique_documents(x.select("doc_id", "score", F.col("chunk_id").alias("id")), 20).select("doc_id", "score")
 
 
 @query("quota_route", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 200, BM25_TERMS, extra=", CASE WHEN len(list_distinct(list_filter(string_split(coalesce(clinical_department, ''), '|'), lambda x: trim(x) != ''))) > 1 THEN 'compositive' ELSE 'single' END AS scope")},
 q AS (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY score DESC, chunk_id) <= CASE scope WHEN 'single' THEN 91 ELSE 9 END AS i FROM hits), z AS (SELECT *, row_number() OVER (ORDER BY i DESC, score DESC, chunk_id) AS pos FROM q) SELECT chunk_id, scope, score FROM z WHERE pos <= 100""")
 def _(s, d):
-    x = search.bm25(_chunks(s, d, "title", "content", "clinical_department"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 200, keep=["clinical_department"])
+    x = search.bm25(_raw(s, d, "title", "content", "clinical_department"), QUERY, _text(), "chunk_id", 200, keep=["clinical_department"], at="ingested_at")
     x = x.withColumn("scope", R.department_fields("clinical_department")["scope"])
     return fusion.quota(x, "scope", [F.desc("score"), F.col("chunk_id")], {"single": 91, "compositive": 9}, 100).select("chunk_id", "scope", "score")
 
@@ -356,7 +364,7 @@ def _(s, d):
 @query("fallback_union", f"""WITH {CHUNKS_SQL}, {_bm25_sql('', 60, BM25_TERMS, extra=', document_kind')}, g AS (SELECT chunk_id, score, false AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'consensus'),
 c AS (SELECT chunk_id, score, true AS is_fallback, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM hits WHERE document_kind = 'guideline') SELECT chunk_id, score, is_fallback FROM g WHERE r <= 25 UNION ALL SELECT chunk_id, score, is_fallback FROM c WHERE r <= 25 - (SELECT count(*) FROM g WHERE r <= 25)""")
 def _(s, d):
-    x = search.bm25(_chunks(s, d, "title", "content", "document_kind"), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 60, keep=["document_kind"])
+    x = search.bm25(_raw(s, d, "title", "content", "document_kind"), QUERY, _text(), "chunk_id", 60, keep=["document_kind"], at="ingested_at")
     a, b = (x.filter(F.col("document_kind") == k).select("chunk_id", "score") for k in ("consensus", "guideline"))
     return fusion.fallback(a, b, [F.desc("score"), F.col("chunk_id")], 25, "chunk_id").select("chunk_id", "score", "is_fallback")
 
@@ -383,7 +391,8 @@ SELECT chunk_id, round(score * (1 + CASE WHEN contains(c, '{QUERY}') THEN 0.36 E
 * greatest(0.05, 1 - least(0.9, CASE WHEN is_reference_section THEN 0.75 ELSE 0 END + CASE WHEN regexp_matches(pa, 'references?|bibliography|参考文献') THEN 0.35 ELSE 0 END)), 6) AS score FROM o ORDER BY score DESC, token_count DESC, chunk_id LIMIT 20""")
 def _(s, d):
     keep = ["title", "content", "chunk_type", "is_reference_section", "token_count", "section_path"]
-    x = search.bm25(_chunks(s, d, *keep), QUERY, F.concat_ws(" ", "title", "content"), "chunk_id", 50, keep=keep)
+    raw = _raw(s, d, *keep)
+    x = search.payload(search.bm25(raw, QUERY, _text(), "chunk_id", 50, at="ingested_at"), raw, "chunk_id", keep, "ingested_at")
     return rerank.rule_chunks(x, QUERY, 20).select("chunk_id", "score")
 
 
@@ -541,9 +550,64 @@ def _(s, d):
     return p.select("doc_id", F.col("p.header")["publication_date"].alias("publication_date"), F.length("p.body").alias("n"))
 
 
-@query("cover_density_topk")
+def _tok(x: str) -> str:
+    return rf"regexp_extract_all(lower(coalesce({x}, '')), '[A-Za-z0-9]+(?:[-''][A-Za-z0-9]+)?|[\x{{4e00}}-\x{{9fff}}]')"
+
+
+def _lex_sql(name: str, source: str, id_: str, fields: list[tuple[str, str]], any_of: list[list[str]], where: str, extra: str = "") -> str:
+    """name(id, extra, score) of rows of source that match, by cover density."""
+    ts = "[]::VARCHAR[]"
+    ws = "[]::DOUBLE[]"
+    for f, c in fields:
+        ts, ws = f"list_concat({ts}, {_tok(f)})", f"list_concat({ws}, list_transform({_tok(f)}, lambda x: {search.WEIGHTS[c]}::DOUBLE))"
+    words = [w for of in any_of for w in of]
+    ends = ", ".join(f"CASE WHEN count(*) FILTER (WHERE t IN ({', '.join(map(repr, of))})) = {len(of)} THEN max(m) FILTER (WHERE t IN ({', '.join(map(repr, of))})) END" for of in any_of)
+    return f"""{name}_t AS (SELECT {id_} AS id{extra}, {ts} AS ts, {ws} AS ws FROM {source}), {name}_m AS (SELECT *, ' ' || array_to_string(ts, ' ') || ' ' AS j FROM {name}_t WHERE len(ts) > 0),
+{name}_r AS (SELECT * FROM {name}_m WHERE {where}), {name}_u AS (SELECT id, unnest(ts) AS t, unnest(ws) AS w, generate_subscripts(ts, 1) AS p FROM {name}_r), {name}_o AS (SELECT * FROM {name}_u WHERE t IN ({", ".join(f"'{w}'" for w in words)})),
+{name}_f AS (SELECT a.id, a.p, b.t, min(b.p) AS m FROM {name}_o a JOIN {name}_o b ON a.id = b.id AND b.p >= a.p GROUP BY ALL), {name}_e AS (SELECT * FROM (SELECT id, p AS q, list_min([{ends}]) AS e FROM {name}_f GROUP BY id, p)),
+{name}_l AS (SELECT * FROM (SELECT *, lead(e) OVER (PARTITION BY id ORDER BY q) AS nx FROM {name}_e) WHERE e IS NOT NULL AND nx IS DISTINCT FROM e),
+{name}_c AS (SELECT l.id, l.q, count(*) / sum(1 / w) / (1 + l.e - l.q + 1 - count(*)) AS c FROM {name}_l l JOIN {name}_o o ON o.id = l.id AND o.p BETWEEN l.q AND l.e GROUP BY l.id, l.q, l.e),
+{name} AS (SELECT r.* EXCLUDE (ts, ws, j), round(coalesce(s, 0), 6) AS score FROM {name}_r r LEFT JOIN (SELECT id, sum(c) AS s FROM {name}_c GROUP BY id) USING (id))"""
+
+
+def _dense_sql(name: str, source: str, id_: str, text: str, query: str = QUERY, extra: str = "") -> str:
+    """name(id, extra, score) of all rows of source, by the hashing encoder."""
+    q = ", ".join(f"({i}, {v!r}::DOUBLE)" for i, v in enumerate(R.hash_vector(query)) if v)
+    return f"""{name}_u AS (SELECT {id_} AS id, unnest({_tok(text)}) AS t FROM {source}), {name}_w AS (SELECT t, ('0x' || substr(sha1(t), 1, 8))::BIGINT % 384 AS b, CASE WHEN ('0x' || substr(sha1(t), 9, 2))::BIGINT % 2 = 0 THEN 1 ELSE -1 END AS s FROM (SELECT DISTINCT t FROM {name}_u)),
+{name}_v AS (SELECT id, b, sum(s)::DOUBLE AS v FROM {name}_u JOIN {name}_w USING (t) GROUP BY ALL), {name}_s AS (SELECT id, CASE WHEN sum(v * v) > 0 THEN sum(v * coalesce(q, 0)) / sqrt(sum(v * v)) ELSE 0 END AS s FROM {name}_v LEFT JOIN (VALUES {q}) x(b, q) USING (b) GROUP BY id),
+{name} AS (SELECT {id_} AS id{extra}, round(coalesce(s, 0), 6) AS score FROM {source} c LEFT JOIN {name}_s s ON s.id = c.{id_})"""
+
+
+_LAST_SQL = """cd AS (SELECT DISTINCT ON (doc_id) * FROM document_cards ORDER BY doc_id, ingested_at DESC), vw AS (SELECT DISTINCT ON (view_id) * FROM document_views ORDER BY view_id, ingested_at DESC)"""
+_ALL_OF = " AND ".join(f"list_contains(ts, '{w}')" for w in dict.fromkeys(BM25_TERMS))
+#: A retrieval text, as chunks are indexed by it.
+_RETRIEVAL_SQL = "concat_ws(chr(10), nullif(trim(title), ''), nullif(array_to_string(section_path, ' > '), ''), CASE WHEN chunk_type != '' THEN 'chunk_type: ' || chunk_type END, CASE WHEN trim(content) != '' THEN content END)"
+
+
+def _top_sql(name: str, k: int) -> str:
+    return f"SELECT id, '{name}' AS channel, row_number() OVER (ORDER BY score DESC, id) AS rank FROM (SELECT id, score FROM {name} WHERE id IN (SELECT doc_id FROM docs) ORDER BY score DESC, id LIMIT {k})"
+
+
+def _best_view_sql(name: str, k: int) -> str:
+    return f"SELECT doc_id AS id, '{name}' AS channel, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM (SELECT doc_id, max(score) AS score, arg_min(id, (-score, id)) AS i FROM (SELECT * FROM {name} WHERE doc_id IN (SELECT doc_id FROM docs) ORDER BY score DESC, id LIMIT {3 * k}) GROUP BY doc_id ORDER BY score DESC, i LIMIT {k})"
+
+
+HYBRID_SQL = f"""WITH {DOCS_SQL}, {_LAST_SQL},
+{_lex_sql("ct", "cd", "doc_id", [("title", "A"), ("clinical_department", "B"), ("card_text", "C")], [list(dict.fromkeys(BM25_TERMS))], _ALL_OF)},
+{_lex_sql("vt", "vw", "view_id", [("title", "A"), ("view_type", "B"), ("clinical_department", "B"), ("text", "C")], [list(dict.fromkeys(BM25_TERMS))], _ALL_OF, ", doc_id")},
+{_dense_sql("cv", "cd", "doc_id", "card_text")}, {_dense_sql("vv", "vw", "view_id", "text", extra=", doc_id")},
+ranks AS ({_top_sql("ct", 50)} UNION ALL {_best_view_sql("vt", 50)} UNION ALL {_top_sql("cv", 50)} UNION ALL {_best_view_sql("vv", 50)}),
+fused AS (SELECT id AS doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS base_score FROM ranks GROUP BY id), cand AS (SELECT * FROM fused JOIN docs USING (doc_id) ORDER BY base_score DESC, doc_id LIMIT 40),
+z AS (SELECT *, lower(coalesce(title, '')) AS t FROM cand)
+SELECT doc_id, title, base_score, round(boost, 6) AS boost, round(base_score * (1 + boost), 6) AS score FROM (SELECT *, CASE WHEN {' OR '.join(f"contains(t, '{w}')" for w in BM25_TERMS)} THEN 0.20 ELSE 0 END::DOUBLE + CASE WHEN contains(t, '{QUERY}') THEN 0.35 ELSE 0 END::DOUBLE + 0.12::DOUBLE
+  + CASE WHEN regexp_matches(title, '(?i)(guideline|guidelines|consensus|recommendations?|指南|共识)') THEN 0.08 ELSE 0 END::DOUBLE AS boost, CAST(nullif(regexp_extract(publication_date, '(19\\d{{2}}|20\\d{{2}})', 1), '') AS INT) AS y FROM z)
+ORDER BY round(base_score * (1 + boost), 6) DESC, coalesce(y, 0) DESC, doc_id LIMIT 10"""
+
+
+@query("cover_density_topk", f"""WITH {CHUNKS_SQL}, {_lex_sql("c", "ch", "chunk_id", [("title", "A"), ("chunk_type", "B"), ("content", "C")], [["failure", "heart", "telephone"], ["home", "monitoring"]], "(contains(j, ' heart failure ') AND list_contains(ts, 'telephone')) OR (contains(j, ' home monitoring ') AND NOT list_contains(ts, 'newborns'))")}
+SELECT id AS chunk_id, score FROM c ORDER BY score DESC, id LIMIT 50""")
 def _(s, d):
-    return search.cover_density(_chunks(s, d), '"heart failure" telephone or "home monitoring" -newborns', [("title", "A"), ("chunk_type", "B"), ("content", "C")], "chunk_id", 50)
+    return search.cover_density(_raw(s, d, "title", "chunk_type", "content"), '"heart failure" telephone or "home monitoring" -newborns', [("title", "A"), ("chunk_type", "B"), ("content", "C")], "chunk_id", 50, at="ingested_at")
 
 
 @query("hashing_vectors")
@@ -591,21 +655,50 @@ def _store(s: SparkSession, d: str):
     return Store(s, d)
 
 
-@query("hybrid_search")
+def _retrieve_sql(name: str, kind: str | None, k: int, institution: str = "") -> str:
+    """name(chunk_id, score, ...) of a retrieval, with its order in o."""
+    where = "WHERE NOT coalesce(is_reference_section, false)" + (f" AND source_institution ILIKE '%{institution}%'" if institution else "")
+    kinds = f"SELECT doc_id FROM docs WHERE document_kind = '{kind}'" if kind else "SELECT doc_id FROM docs"
+    n = min(4 * k, 50)
+
+    def top(c: str) -> str:
+        return f"SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM (SELECT id, score FROM {name}_{c} WHERE doc_id IN ({kinds}) ORDER BY score DESC, id LIMIT 50)"
+
+    any_of = " OR ".join
+    return f"""{name}_b AS (SELECT * FROM ch {where}), {_lex_sql(name + "_t", name + "_b", "chunk_id", [("title", "A"), ("array_to_string(section_path, ' ')", "B"), ("clinical_department", "B"), ("chunk_type", "B"), (_RETRIEVAL_SQL, "C")], [list(dict.fromkeys(BM25_TERMS))], _ALL_OF, ", doc_id")},
+{_dense_sql(name + "_d", name + "_b", "chunk_id", "content", extra=", doc_id")}, {name}_f AS (SELECT id AS chunk_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS base FROM ({top("t")} UNION ALL {top("d")}) GROUP BY id),
+{name}_k AS (SELECT *, lower(coalesce(content, '')) AS c, lower(coalesce(title, '')) AS ti, lower(coalesce(array_to_string(section_path, ' > '), '')) AS pa FROM {name}_f JOIN ch USING (chunk_id) ORDER BY base DESC, chunk_id LIMIT {n}),
+{name}_n AS (SELECT *, ({' + '.join(f"(CASE WHEN contains(c, '{w}') THEN 1 ELSE 0 END)" for w in BM25_TERMS)}) AS hits FROM {name}_k),
+{name}_s AS (SELECT chunk_id, doc_id, section_path, token_count, round(base * (1 + CASE WHEN contains(c, '{QUERY}') THEN 0.36 ELSE 0 END + CASE WHEN hits > 0 THEN least(0.26, 0.08 + hits / 6.0::DOUBLE * 0.22) ELSE 0 END + CASE WHEN {any_of(f"contains(pa, '{w}')" for w in BM25_TERMS)} THEN 0.12 ELSE 0 END
+  + CASE WHEN {any_of(f"contains(ti, '{w}')" for w in BM25_TERMS)} THEN 0.08 ELSE 0 END + CASE chunk_type WHEN 'recommendation' THEN 0.18 WHEN 'key_message' THEN 0.14 WHEN 'pico' THEN 0.12 WHEN 'algorithm' THEN 0.10 WHEN 'evidence' THEN 0.06 WHEN 'table' THEN 0.05 ELSE 0 END)
+  * greatest(0.05, 1 - least(0.9, CASE WHEN regexp_matches(pa, 'references?|bibliography|参考文献') THEN 0.35 ELSE 0 END)), 6) AS score FROM {name}_n),
+{name} AS (SELECT *, row_number() OVER (ORDER BY score DESC, coalesce(token_count, 0) DESC, chunk_id) AS o FROM {name}_s QUALIFY o <= {k})"""
+
+
+@query("hybrid_search", HYBRID_SQL)
 def _(s, d):
     st = _store(s, d)
-    x = search_documents(Request(QUERY, topk=10), st.by_key, st.cards.dropDuplicates(["doc_id"]), st.views)
-    return x.select("doc_id", "title", "score", "base_score", "boost", "channels")
+    return st.search(QUERY, topk=10).select("doc_id", "title", "score", "base_score", "boost")
 
 
-@query("hybrid_retrieve")
+@query("hybrid_retrieve", f"""WITH {DOCS_SQL}, {CHUNKS_SQL}, {_retrieve_sql("r", None, 10)}, sec AS (SELECT doc_id, section_path, arg_min({{'h': heading, 'a': char_start, 'b': char_end}}, section_index) AS x FROM sections GROUP BY ALL)
+SELECT chunk_id, r.doc_id, score, coalesce(x.h, r.section_path[-1]) AS heading, x.a AS char_start, x.b AS char_end FROM r LEFT JOIN sec ON r.doc_id = sec.doc_id AND r.section_path = sec.section_path""")
 def _(s, d):
-    st = _store(s, d)
-    return retrieve_chunks(Request(QUERY, topk=10), st.chunks, st.sections).select("chunk_id", "doc_id", "score", "heading", "char_start", "char_end")
+    return _store(s, d).retrieve(QUERY, topk=10).select("chunk_id", "doc_id", "score", "heading", "char_start", "char_end")
 
 
-@query("retrieve_with_fallback")
+@query("retrieve_with_fallback", f"""WITH {DOCS_SQL}, {CHUNKS_SQL}, {_retrieve_sql("g", "guideline", 10, "Council")}, {_retrieve_sql("c", "consensus", 10, "Council")}
+SELECT chunk_id, score, false AS is_fallback FROM g UNION ALL SELECT chunk_id, score, true FROM (SELECT *, row_number() OVER (ORDER BY score DESC, chunk_id) AS p FROM c WHERE chunk_id NOT IN (SELECT chunk_id FROM g)) WHERE p <= 10 - (SELECT count(*) FROM g)""")
 def _(s, d):
-    st = _store(s, d)
-    x = with_fallback(Request(QUERY, topk=10, institution="Council"), lambda r: retrieve_chunks(r, st.chunks, st.sections).select("chunk_id", "score"), "chunk_id")
-    return x
+    return _store(s, d).retrieve_with_fallback(QUERY, topk=10, institution="Council").select("chunk_id", "score", "is_fallback")
+
+
+@query("hybrid_search_routed")
+def _(s, d):
+    """With kind and department, so that kinds are asked of the documents and quotas route."""
+    return _store(s, d).search(QUERY, topk=10, kind="guideline", department="cardiology").select("doc_id", "title", "scope", "score", "base_score")
+
+
+@query("hybrid_retrieve_routed")
+def _(s, d):
+    return _store(s, d).retrieve(QUERY, topk=10, kind="guideline", department="cardiology").select("chunk_id", "doc_id", "scope", "score")
