@@ -641,6 +641,35 @@ def _(s, d):
     return ingest.chunk_rows(_chunks(s, d))
 
 
+_STORED_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n, min(k) AS first_key, max(k) AS last_key FROM (SELECT DISTINCT {k} AS k FROM {f}{'' if t == 'documents' else ' WHERE doc_id IN (SELECT doc_key FROM documents)'})"
+    for t, f, k in (("documents", "documents", "doc_key"), ("document_cards", "document_cards", "doc_id"), ("document_views", "document_views", "view_id"), ("sections", "sections", "doc_id || '#' || section_index"), ("chunks", "chunks", "chunk_id"))
+)
+
+
+@query("ingest_twice", _STORED_SQL)
+def _(s, d):
+    """All tables ingested into an empty folder, and once more, which adds nothing."""
+    import uuid
+
+    from tessella.session import shared_folder
+    from tessella.sources.store import stored
+
+    folder = f"{shared_folder(s)}/ingest-{uuid.uuid4().hex}"
+    docs = spread(table(s, d, "documents")).drop("doc_id").withColumnRenamed("doc_key", "doc_id")
+    rows = {
+        "documents": ingest.document_rows(docs), "document_cards": ingest.card_rows(table(s, d, "document_cards")), "document_views": ingest.view_rows(table(s, d, "document_views")),
+        "sections": ingest.section_rows(table(s, d, "sections")), "chunks": ingest.chunk_rows(spread(table(s, d, "chunks"))),
+    }
+    for _ in range(2):
+        ingest.incremental(rows, folder, s)
+    out = None
+    for name, k in (("documents", "doc_id"), ("document_cards", "doc_id"), ("document_views", "view_id"), ("sections", "concat_ws('#', doc_id, section_index)"), ("chunks", "chunk_id")):
+        one = stored(s, folder, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.min(F.expr(k)).alias("first_key"), F.max(F.expr(k)).alias("last_key"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("slugs")
 def _(s, d):
     return spread(table(s, d, "documents", "doc_id", "source_institution", "publication_date", "text")).select("doc_id", R.doc_id(F.col("source_institution"), F.col("publication_date"), R.sha256_text("text")).alias("slug"))

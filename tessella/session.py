@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +30,14 @@ def local_session(cores: int | str = "*", app: str = "tessella", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share. The cluster names it in spark.checkpoint.dir; only where that is unset
-    (tests, one machine) a local folder is made."""
+    """The folder all executors share, which the cluster names in spark.checkpoint.dir. Where that is unset, one machine (tests) gets a
+    folder that goes with the process; on a cluster it is an error, as executors couldn't share one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tessella-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 

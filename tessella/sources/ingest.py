@@ -1,4 +1,4 @@
-"""Rows of the stored tables, and their refresh, whole or by what is new. Writes go to a new folder and are swapped in last."""
+"""Rows of the stored tables, and their refresh, whole or by what is new; changes of all tables show at once (see store)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tessella.functions.records import department_text, truthy, year
 from tessella.functions.text import retrieval_text, token_count
 from tessella.operators.aggregates import duplicate_keys
+from tessella.operators.search import check_dimension
+from tessella.sources.store import commit, stored, tables as parts_of, write_part
+
+#: What a row of each table is known by.
+KEYS = {"documents": ["doc_id"], "document_cards": ["doc_id"], "document_views": ["view_id"], "sections": ["doc_id", "section_index"], "chunks": ["chunk_id"], "embeddings": ["id", "model"]}
 
 
 def _text(c: str, default: str = ""):
@@ -61,48 +66,49 @@ def last_delivery(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     return x.filter("__last IS NULL").drop("__last").unionByName(many)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def replace(df: DataFrame, path: str) -> None:
-    """Writes beside the old folder, then renames: a reader sees the old table or the new one."""
-    spark = df.sparkSession
-    new = path.rstrip("/") + "__new"
-    df.write.mode("overwrite").parquet(new)
-    p, n = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, new))
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(p, True)
-    if not fs.rename(n, p):
-        raise OSError(f"{new} can't be renamed")
-
-
 def full_refresh(tables: dict[str, DataFrame], folder: str) -> None:
     """All tables anew; a document that comes twice is an error before anything is written."""
     if (bad := duplicate_keys(tables["documents"], "doc_id").limit(1).collect()):
         raise ValueError(f"document {bad[0]['doc_id']} comes more than once")
-    for name, df in tables.items():
-        replace(df, f"{folder}/{name}")
+    spark = tables["documents"].sparkSession
+    commit(spark, folder, {**parts_of(spark, folder), **{name: [write_part(df, folder, name)] for name, df in tables.items()}})
+
+
+def replace(df: DataFrame, folder: str, name: str) -> None:
+    """One table anew; what it is made of may be the table itself."""
+    commit(df.sparkSession, folder, {**parts_of(df.sparkSession, folder), name: [write_part(df, folder, name)]})
+
+
+def fresh(df: DataFrame, keys: Sequence[str], have: DataFrame | None) -> DataFrame:
+    """Rows whose key isn't stored, once each."""
+    x = df.dropDuplicates(list(keys))
+    return x.join(have.select(*keys), list(keys), "left_anti") if have is not None else x
 
 
 def incremental(tables: dict[str, DataFrame], folder: str, spark: SparkSession) -> dict[str, int]:
-    """Appends what belongs to documents that aren't there yet; gives rows appended by table and documents skipped."""
-    target = f"{folder}/documents"
-    have = spark.read.parquet(target).select("doc_id") if _exists(spark, target) else tables["documents"].limit(0).select("doc_id")
-    new = tables["documents"].select("doc_id").distinct().join(have, "doc_id", "left_anti").persist()
-    total, n = tables["documents"].select("doc_id").distinct().count(), new.count()
-    out = {"skipped_existing_documents": total - n}
-    # documents go last: until then a run that breaks off is repeated whole
-    for name in [t for t in tables if t != "documents"] + ["documents"]:
-        part = tables[name].join(new, "doc_id", "left_semi")
-        before = spark.read.parquet(f"{folder}/{name}").count() if _exists(spark, f"{folder}/{name}") else 0
-        part.write.mode("append").parquet(f"{folder}/{name}")
-        out[name] = spark.read.parquet(f"{folder}/{name}").count() - before
-    new.unpersist()
+    """Appends what belongs to documents that aren't there yet, each row if its own key isn't stored; gives rows appended by table
+    and documents skipped. Tables change together in the end, so that a run that breaks off has changed nothing and can be repeated."""
+    old = parts_of(spark, folder)
+    have = stored(spark, folder, "documents")
+    given = tables["documents"].select("doc_id").distinct()
+    new = given if have is None else given.join(have.select("doc_id"), "doc_id", "left_anti")
+    out = {"skipped_existing_documents": 0}
+    parts = dict(old)
+    for name, df in tables.items():
+        rows = fresh(df.join(new, "doc_id", "left_semi"), KEYS[name], stored(spark, folder, name))
+        part = write_part(rows, folder, name)
+        parts[name] = [*old.get(name, []), part]
+        out[name] = spark.read.parquet(f"{folder}/{part}").count()
+    out["skipped_existing_documents"] = given.count() - out["documents"]
+    commit(spark, folder, parts)
     return out
 
 
+def vector_rows(df: DataFrame, size: int) -> DataFrame:
+    """Vectors to be stored: (id, model, dim, embedding), an error where one has another dimension or isn't finite."""
+    return check_dimension(df, "embedding", size).select("id", "model", F.lit(size).alias("dim"), "embedding")
+
+
 def upsert_vectors(old: DataFrame, new: DataFrame) -> DataFrame:
     """(id, model) once: the new vector where there is one."""
     return latest(old.withColumn("__o", F.lit(0)).unionByName(new.withColumn("__o", F.lit(1))), ["id", "model"], "__o").drop("__o")

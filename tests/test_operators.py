@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, views
-from tessella.sources import files, ingest
+from tessella.sources import files, ingest, store
 
 
 def rows(df):
@@ -250,25 +250,49 @@ def test_jsonl(spark, tmp_path):
 
 
 def test_ingest(spark, tmp_path):
+    folder = str(tmp_path / "t")
     docs = spark.createDataFrame([("existing",)], "doc_id string")
     ch = spark.createDataFrame([("existing", "c1")], "doc_id string, chunk_id string")
-    ingest.full_refresh({"documents": docs, "chunks": ch}, str(tmp_path / "t"))
-    more = {"documents": spark.createDataFrame([("existing",), ("new",)], "doc_id string"), "chunks": spark.createDataFrame([("existing", "c1"), ("new", "c2"), ("new", "c3")], "doc_id string, chunk_id string")}
-    assert ingest.incremental(more, str(tmp_path / "t"), spark) == {"skipped_existing_documents": 1, "chunks": 2, "documents": 1}
-    assert ingest.incremental(more, str(tmp_path / "t"), spark)["documents"] == 0
+    ingest.full_refresh({"documents": docs, "chunks": ch}, folder)
+    more = {"documents": spark.createDataFrame([("existing",), ("new",), ("new",)], "doc_id string"), "chunks": spark.createDataFrame([("existing", "c1"), ("new", "c2"), ("new", "c3"), ("new", "c3")], "doc_id string, chunk_id string")}
+    assert ingest.incremental(more, folder, spark) == {"skipped_existing_documents": 1, "chunks": 2, "documents": 1}
+    again = ingest.incremental(more, folder, spark)
+    assert again == {"skipped_existing_documents": 2, "documents": 0, "chunks": 0} and store.stored(spark, folder, "chunks").count() == 3
     with pytest.raises(ValueError):
         ingest.full_refresh({"documents": docs.union(docs)}, str(tmp_path / "u"))
+    ingest.replace(store.stored(spark, folder, "chunks").filter("chunk_id != 'c1'"), folder, "chunks")  # of itself
+    assert sorted(r.chunk_id for r in store.stored(spark, folder, "chunks").collect()) == ["c2", "c3"]
+    assert len(store.vacuum(spark, folder)) == 3 and store.stored(spark, folder, "chunks").count() == 2
+
+
+def test_a_broken_ingest_can_be_repeated(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    more = {"documents": spark.createDataFrame([("a",), ("b",)], "doc_id string"), "chunks": spark.createDataFrame([("a", "c1"), ("b", "c2")], "doc_id string, chunk_id string")}
+    write = ingest.write_part
+
+    def fails(df, folder, name):
+        if name == "chunks":
+            raise OSError("lost")
+        return write(df, folder, name)
+
+    monkeypatch.setattr(ingest, "write_part", fails)
+    with pytest.raises(OSError):
+        ingest.incremental(more, folder, spark)
+    assert store.stored(spark, folder, "documents") is None
+    monkeypatch.undo()
+    assert ingest.incremental(more, folder, spark) == {"skipped_existing_documents": 0, "documents": 2, "chunks": 2}
+    assert ingest.incremental(more, folder, spark)["chunks"] == 0 and store.stored(spark, folder, "documents").count() == 2
 
 
 def test_stream(spark, tmp_path):
     from tessella.streaming.ingest import append_new, new_rows
 
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.json").write_text('{"doc_id": "a"}\n{"doc_id": "a"}\n{"doc_id": "b"}\n')
+    (tmp_path / "in" / "1.json").write_text('{"doc_id": "a", "section_index": 0}\n{"doc_id": "a", "section_index": 0}\n{"doc_id": "a", "section_index": 1}\n')
     for _ in range(2):
-        append_new(new_rows(spark, str(tmp_path / "in"), "doc_id string"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
-        (tmp_path / "in" / "2.json").write_text('{"doc_id": "b"}\n{"doc_id": "c"}\n')
-    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+        append_new(new_rows(spark, str(tmp_path / "in"), "doc_id string, section_index int"), str(tmp_path / "out"), "sections", str(tmp_path / "cp")).awaitTermination(60)
+        (tmp_path / "in" / "2.json").write_text('{"doc_id": "a", "section_index": 1}\n{"doc_id": "c", "section_index": 0}\n')
+    assert sorted(map(tuple, store.stored(spark, str(tmp_path / "out"), "sections").collect())) == [("a", 0), ("a", 1), ("c", 0)]
 
 
 def test_upsert(spark):
