@@ -118,7 +118,7 @@ def weak(x: Column | str, least: int) -> Column:
 CJK = "一-鿿぀-ヿ"
 WEIRD = "\\x7f-\\x9f\\u00ac\\u00ae\\u00af\\u00b1\\u00b4-\\u00b6\\u00b8-\\u00be\\u0370-\\u03ff"
 MARKERS = "摇揖铱鄄臆茁冶誗ꎬꎻꎮ"
-LATIN_TOKEN = "[A-Za-z0-9]+"
+LATIN_TOKEN = r"[A-Za-z]+|\d+"
 
 
 def _kept(x: Column, chars: str) -> Column:

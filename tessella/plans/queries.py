@@ -63,6 +63,14 @@ def _raw(s: SparkSession, d: str, *columns: str) -> DataFrame:
     return spread(table(s, d, "chunks", *dict.fromkeys(["chunk_id", "ingested_at", *columns])))
 
 
+_SP = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_BL = r"[ \t\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_SP}+|{_SP}+$', '', 'g')"
+
+
 CHUNKS_SQL = "ch AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id, ingested_at DESC)"
 
 # -- filters and lookups
@@ -83,16 +91,19 @@ def _(s, d):
     return filters.search_filter(table(s, d, "documents", "doc_id", "publication_date"), time_range="2022")
 
 
-@query("read_lookup", """SELECT doc_id, title, substr(content_md, 1, 200) AS content_md FROM documents WHERE lower(title) = 'guideline on vaccination in gout' OR title ILIKE '%Guideline on vaccination in gout%'
-ORDER BY CASE WHEN lower(title) = 'guideline on vaccination in gout' THEN 0 ELSE 1 END, publication_date DESC NULLS LAST, length(title), doc_id LIMIT 1""")
+@query("read_lookup", f"""WITH t AS (SELECT arg_min(title, (length(title), title)) AS title FROM documents WHERE title != ''), x AS (SELECT d.*, CASE WHEN lower(d.title) = lower(t.title) THEN 0 ELSE 1 END AS exact FROM documents d, t WHERE contains(lower(d.title), lower(t.title)))
+SELECT doc_id, title, substr(content_md, 1, 200) AS content_md FROM x ORDER BY exact, publication_date DESC NULLS LAST, length(title), doc_id LIMIT 1""")
 def _(s, d):
-    return filters.read_document(table(s, d, "documents"), title="Guideline on vaccination in gout", max_chars=200).select("doc_id", "title", "content_md")
+    """By a title that is there: the shortest one."""
+    docs = table(s, d, "documents")
+    title = docs.filter("title != ''").agg(F.min_by("title", F.struct(F.length("title"), "title"))).first()[0]
+    return filters.read_document(docs, title=title, max_chars=200).select("doc_id", "title", "content_md")
 
 
-@query("json_metadata_filter", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase') AND json_extract_string(props, '$.device') = 'mobile'")
+@query("json_metadata_filter", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase') AND TRY_CAST(json_extract_string(props, '$.k') AS INT) = 7")
 def _(s, d):
     e = table(s, d, "events", "event_id", "event_type", "props").withColumn("metadata", F.from_json("props", "map<string,string>"))
-    return filters.metadata_filter(e, {"event_type": ["click", "purchase"], "device": "mobile", "missing": None}).select("event_id", "event_type")
+    return filters.metadata_filter(e, {"event_type": ["click", "purchase"], "k": "7", "missing": None}).select("event_id", "event_type")
 
 
 # -- joins
@@ -157,18 +168,26 @@ def _(s, d):
     return aggregates.distribution(table(s, d, "documents", "source_institution"), "source_institution")
 
 
-@query("table_stats", """SELECT 'documents' AS table_name, count(*) AS n, count(*) FILTER (WHERE publication_date = 'unknown') AS unknown_dates FROM documents
-UNION ALL SELECT 'sections', count(*), count(*) FILTER (WHERE publication_date = 'unknown') FROM sections UNION ALL SELECT 'eval_items', count(*), NULL FROM eval_items""")
+STATS_TABLES = ("documents", "sections", "chunks", "document_cards", "document_views", "rank_candidates", "eval_items", "embeddings")
+_DATED = ("documents", "sections", "chunks", "document_cards", "document_views")
+
+
+@query("table_stats", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n, {'count(*) FILTER (WHERE publication_date = ' + chr(39) + 'unknown' + chr(39) + ')' if t in _DATED else 'NULL::BIGINT'} AS unknown_dates FROM {t}" for t in STATS_TABLES))
 def _(s, d):
-    return aggregates.table_stats({t: table(s, d, t) for t in ("documents", "sections", "eval_items")})
+    return aggregates.table_stats({t: table(s, d, t) for t in STATS_TABLES})
+
+
+def _check_sql(name: str, source: str) -> str:
+    return f"SELECT k.kind, '{name}' AS check_name, coalesce(x.n, 0) > 0 AS ok FROM k LEFT JOIN (SELECT docs.document_kind AS kind, count(*) AS n FROM {source} JOIN docs USING (doc_id) GROUP BY ALL) x USING (kind)"
 
 
 @query("snapshot_checks", f"""WITH {DOCS_SQL}, k(kind) AS (VALUES ('guideline'), ('consensus')), n AS (SELECT document_kind AS kind, count(DISTINCT doc_id) AS documents FROM docs GROUP BY ALL),
-c AS (SELECT docs.document_kind AS kind, count(DISTINCT doc_id) AS n FROM document_cards JOIN docs USING (doc_id) GROUP BY ALL), h AS (SELECT docs.document_kind AS kind, count(*) AS n FROM chunks JOIN docs USING (doc_id) GROUP BY ALL)
+c AS (SELECT docs.document_kind AS kind, count(DISTINCT doc_id) AS n FROM document_cards JOIN docs USING (doc_id) GROUP BY ALL)
 SELECT k.kind, 'documents' AS check_name, coalesce(n.documents, 0) > 0 AS ok FROM k LEFT JOIN n USING (kind) UNION ALL SELECT k.kind, 'cards', coalesce(c.n, 0) = coalesce(n.documents, 0) FROM k LEFT JOIN n USING (kind) LEFT JOIN c USING (kind)
-UNION ALL SELECT k.kind, 'chunks', coalesce(h.n, 0) > 0 FROM k LEFT JOIN h USING (kind)""")
+UNION ALL {_check_sql("chunks", "chunks")} UNION ALL {_check_sql("views", "document_views")} UNION ALL {_check_sql("sections", "sections")} UNION ALL {_check_sql("vectors", "(SELECT DISTINCT doc_id FROM document_cards WHERE card_text != '')")}""")
 def _(s, d):
-    return aggregates.snapshot_problems(_docs(s, d), {"cards": table(s, d, "document_cards"), "chunks": table(s, d, "chunks")})
+    vectors = table(s, d, "document_cards", "doc_id", "card_text").filter("card_text != ''")  # what vectors are made of
+    return aggregates.snapshot_problems(_docs(s, d), {"cards": table(s, d, "document_cards"), "chunks": table(s, d, "chunks"), "views": table(s, d, "document_views"), "sections": table(s, d, "sections"), "vectors": vectors})
 
 
 @query("content_hash_dedup", """WITH x AS (SELECT doc_id, sha256(coalesce(content_md, '')) AS digest, CASE WHEN document_kind = 'consensus' THEN 1 ELSE 0 END AS k FROM documents),
@@ -188,24 +207,28 @@ def _(s, d):
     return aggregates.duplicate_keys(table(s, d, "documents", "doc_key"), "doc_key")
 
 
-@query("repair_documents", r"""SELECT doc_id, trim(regexp_replace(coalesce(title, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', ' ', 'g')) AS new_title, CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) AS new_year, sha256(coalesce(content_md, '')) AS content_sha256
+@query("repair_documents", r"""SELECT doc_id, trim(regexp_replace(coalesce(title, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', ' ', 'g')) AS new_title, CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) AS new_year, sha256(coalesce(content_md, '')) AS content_sha256, trim(regexp_replace(coalesce(title, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', ' ', 'g')) IS DISTINCT FROM title OR CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) IS DISTINCT FROM publication_year AS repaired
 FROM documents WHERE CAST(nullif(regexp_extract(publication_date, '(19\d{2}|20\d{2})', 1), '') AS INT) BETWEEN 2012 AND 2026""")
 def _(s, d):
-    return aggregates.repair_documents(table(s, d, "documents"), 2012, 2026).select("doc_id", "new_title", "new_year", "content_sha256")
+    return aggregates.repair_documents(table(s, d, "documents"), 2012, 2026).select("doc_id", "new_title", "new_year", "content_sha256", "repaired")
+
 
+_AT_K = (5, 10, 20, 50)
 
-@query("recall_mrr", """WITH r AS (SELECT DISTINCT query_id, chunk_id AS id, bm25_score, dense_distance FROM rank_candidates),
-a AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC NULLS LAST, id) AS rank FROM (SELECT query_id, id, max(bm25_score) AS s FROM r GROUP BY ALL)),
-rel AS (SELECT DISTINCT query_id, id FROM r WHERE dense_distance < 0.3), n AS (SELECT query_id, count(*) AS n FROM rel GROUP BY ALL),
-p AS (SELECT q.query_id, max(coalesce(n.n, 0)) AS n, count(rel.id) FILTER (WHERE rank <= 5) AS h5, count(rel.id) FILTER (WHERE rank <= 10) AS h10, min(rank) FILTER (WHERE rank <= 10 AND rel.id IS NOT NULL) AS f
-  FROM (SELECT DISTINCT query_id FROM r) q LEFT JOIN a USING (query_id) LEFT JOIN rel ON rel.query_id = a.query_id AND rel.id = a.id LEFT JOIN n ON n.query_id = q.query_id GROUP BY ALL)
-SELECT round(avg(CASE WHEN n > 0 THEN h5 / n ELSE 0 END), 6) AS recall_5, round(avg(CASE WHEN n > 0 THEN h10 / n ELSE 0 END), 6) AS recall_10, round(avg(coalesce(1.0::DOUBLE / f, 0)), 6) AS mrr_10 FROM p""")
+
+@query("recall_mrr", f"""WITH r AS (SELECT DISTINCT query_id, chunk_id AS id, split_part(chunk_id, '#', 1) AS doc_id, bm25_score, dense_distance FROM rank_candidates), t AS (SELECT chunk_id AS id, max(chunk_type) AS chunk_type FROM chunks GROUP BY ALL),
+a AS (SELECT query_id, id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC NULLS LAST, id) AS rank FROM (SELECT query_id, id, doc_id, max(bm25_score) AS s FROM r GROUP BY ALL)),
+rel AS (SELECT DISTINCT query_id, id FROM r WHERE dense_distance < 0.3), rd AS (SELECT DISTINCT query_id, doc_id, 1 AS d FROM r WHERE dense_distance < 0.3), n AS (SELECT query_id, count(*) AS n FROM rel GROUP BY ALL),
+p AS (SELECT q.query_id, max(coalesce(n.n, 0)) AS n, {", ".join(f"count(rel.id) FILTER (WHERE rank <= {k}) AS h{k}" for k in _AT_K)}, min(rank) FILTER (WHERE rank <= 10 AND rel.id IS NOT NULL) AS f, coalesce(max(rd.d) FILTER (WHERE rank <= 10), 0) AS d,
+  count(a.id) FILTER (WHERE rank <= 10) AS n10, count(a.id) FILTER (WHERE rank <= 10 AND t.chunk_type IN ({", ".join(repr(x) for x in aggregates.HIGH_VALUE)})) AS ty
+  FROM (SELECT DISTINCT query_id FROM r) q LEFT JOIN a USING (query_id) LEFT JOIN rel ON rel.query_id = a.query_id AND rel.id = a.id LEFT JOIN rd ON rd.query_id = a.query_id AND rd.doc_id = a.doc_id LEFT JOIN n ON n.query_id = q.query_id LEFT JOIN t ON t.id = a.id GROUP BY ALL)
+SELECT {", ".join(f"round(avg(CASE WHEN n > 0 THEN h{k} / n ELSE 0 END), 6) AS recall_{k}" for k in _AT_K)}, round(avg(coalesce(1.0::DOUBLE / f, 0)), 6) AS mrr_10, round(avg(d::DOUBLE), 6) AS doc_recall_10, round(avg(CASE WHEN n10 > 0 THEN ty / n10 ELSE 0 END), 6) AS type_precision_10 FROM p""")
 def _(s, d):
     r = table(s, d, "rank_candidates").select("query_id", F.col("chunk_id").alias("id"), F.substring_index("chunk_id", "#", 1).alias("doc_id"), "bm25_score", "dense_distance")
+    types = table(s, d, "chunks", "chunk_id", "chunk_type").groupBy(F.col("chunk_id").alias("id")).agg(F.max("chunk_type").alias("chunk_type"))
     best = r.groupBy("query_id", "id", "doc_id").agg(F.max("bm25_score").alias("score"))
-    hits = fusion.rank_within(best, ["query_id"], "id", F.col("score")).withColumn("chunk_type", F.lit("evidence"))
-    m = aggregates.retrieval_metrics(hits, r.filter("dense_distance < 0.3"), r.select("query_id").distinct())
-    return m.select("recall_5", "recall_10", "mrr_10")
+    hits = fusion.rank_within(best, ["query_id"], "id", F.col("score")).join(types, "id", "left")
+    return aggregates.retrieval_metrics(hits, r.filter("dense_distance < 0.3"), r.select("query_id").distinct())
 
 
 # -- scalar functions
@@ -249,11 +272,20 @@ def _(s, d):
     return table(s, d, "documents", "doc_id", "abstract").select("doc_id", X.clip("abstract", 80).alias("clipped"))
 
 
-@query("text_signal_ratios", r"""SELECT doc_id, length(t) AS visible, length(regexp_replace(t, '[^\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]', '', 'g')) AS cjk, round(length(regexp_replace(t, '[^\p{L}\p{N}\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]', '', 'g')) / greatest(length(t), 1)::DOUBLE, 2) AS signal_ratio
-FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0b}]+', '', 'g') AS t FROM documents)""")
+_CLASS = {"signal": r"\p{L}\p{N}\x{4e00}-\x{9fff}\x{3040}-\x{30ff}", "cjk": r"\x{4e00}-\x{9fff}\x{3040}-\x{30ff}", "weird": r"\x7f-\x{9f}\x{ac}\x{ae}\x{af}\x{b1}\x{b4}-\x{b6}\x{b8}-\x{be}\x{370}-\x{3ff}", "marks": X.MARKERS}
+
+
+def _signal_sql(body: str, source: str, keep: str) -> str:
+    """st(keep, b, visible, signal, cjk, weird, marks, latin) of a text column."""
+    each = ", ".join(f"length(regexp_replace(t, '[^{c}]', '', 'g')) AS {n}" for n, c in _CLASS.items())
+    return rf"""st AS (SELECT *, length(t) AS visible, greatest(length(t), 1)::DOUBLE AS total, {each}, len(regexp_extract_all(b, '[A-Za-z]+|\d+')) AS latin FROM (SELECT {keep}, coalesce({body}, '') AS b, regexp_replace(coalesce({body}, ''), '{_SP}+', '', 'g') AS t FROM {source}))"""
+
+
+@query("text_signal_ratios", f"""WITH {_signal_sql("text", "documents", "doc_id")} SELECT doc_id, visible, signal, cjk, round(signal / total, 6) AS signal_ratio, round(cjk / total, 6) AS cjk_ratio, round(latin / total, 6) AS latin_token_ratio, round(weird / total, 6) AS weird_ratio,
+round(marks / total, 6) AS mojibake_marker_ratio, round((visible - signal) / total, 6) AS punctuation_ratio FROM st""")
 def _(s, d):
-    st = X.signal_stats("text")
-    return table(s, d, "documents", "doc_id", "text").select("doc_id", st.alias("s")).select("doc_id", "s.visible", "s.cjk", F.round("s.signal_ratio", 2).alias("signal_ratio"))
+    st = table(s, d, "documents", "doc_id", "text").select("doc_id", X.signal_stats("text").alias("s")).select("doc_id", "s.*")
+    return st.select("doc_id", *[F.round(c, 6).alias(c) if c.endswith("_ratio") else c for c in st.columns if c != "doc_id"])
 
 
 @query("stable_ids", "SELECT doc_id, printf('%s#chunk_%05d', doc_key, n_chars) AS cid, sha256(coalesce(text, '')) AS digest, substr(sha1(concat_ws('|', doc_key, source)), 1, 10) AS short FROM documents")
@@ -268,10 +300,9 @@ def _(s, d):
     return x.select("t", R.bucket(F.col("t"), 384).alias("bucket"), R.sign(F.col("t")).alias("sign"))
 
 
-@query("path_hint_source", "SELECT doc_id, CASE split_part(markdown_clean_path, '/', 1) WHEN 'pdf' THEN 'scanned files' WHEN 'markdown_clean' THEN 'cleaned files' ELSE 'Unknown' END AS hint FROM (SELECT doc_id, CASE WHEN markdown_clean_path LIKE 'markdown_clean/%' THEN markdown_clean_path ELSE '' END AS markdown_clean_path FROM documents)")
+@query("path_hint_source", r"""SELECT doc_id, coalesce(list_filter(list_transform(string_split(replace(markdown_clean_path, '\', '/'), '/'), lambda p: CASE regexp_replace(lower(p), '_pdf$', '') WHEN 'pdf' THEN 'scanned files' WHEN 'markdown_clean' THEN 'cleaned files' END), lambda v: v IS NOT NULL)[1], 'Unknown') AS hint FROM documents""")
 def _(s, d):
-    local = F.when(F.col("markdown_clean_path").startswith("markdown_clean/"), F.col("markdown_clean_path")).otherwise("")
-    return table(s, d, "documents", "doc_id", "markdown_clean_path").select("doc_id", classify.source_by_path(local, HINTS).alias("hint"))
+    return table(s, d, "documents", "doc_id", "markdown_clean_path").select("doc_id", classify.source_by_path(F.col("markdown_clean_path"), HINTS).alias("hint"))
 
 
 # -- ranking
@@ -446,14 +477,6 @@ def _(s, d):
 # -- parsing, cleaning, building: checked in the tests
 
 
-_SP = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_BL = r"[ \t\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
-
-def _strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{_SP}+|{_SP}+$', '', 'g')"
-
-
 SECTIONS_SQL = rf"""seg AS (SELECT doc_id, unnest(s) AS seg, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(coalesce(content_md, ''), '(?m)^(#{{1,6}}{_BL}+[^\s\x0b\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}][^\r\n]*)', chr(1) || '\1', 'g'), chr(1)) AS s FROM documents)),
 pos AS (SELECT *, coalesce(sum(length(seg)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS a, count(*) OVER (PARTITION BY doc_id) AS n FROM seg),
 hd AS (SELECT doc_id, i, seg, a, (a + length(seg))::INT AS b, CASE WHEN i = 1 THEN 1 ELSE length(regexp_extract(seg, '^#+')) END AS level, CASE WHEN i > 1 THEN {_strip("regexp_extract(seg, '^#+([^\r\n]*)', 1)")} WHEN n > 1 THEN 'Preface' ELSE 'Document' END AS heading FROM pos WHERE i > 1 OR n = 1 OR {_strip('seg')} != ''),
@@ -523,6 +546,31 @@ def _(s, d):
     return chunking.chunk_documents(spread(table(s, d, "documents", "doc_id", "title", "content_md")), "content_md", "title", "doc_id")
 
 
+def _low_sql(x: str) -> str:
+    few = f"CASE WHEN regexp_matches({x}, '{_SIGNS_SQL}') THEN length(regexp_replace({x}, '[^\\p{{L}}]', '', 'g')) < 6 OR length(regexp_replace({x}, '{_SP}|[\\p{{L}}\\p{{N}}]', '', 'g')) / length({x})::DOUBLE > 0.25 ELSE length(regexp_replace({x}, '{_SP}', '', 'g')) >= 12 AND length(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}]', '', 'g')) / length(regexp_replace({x}, '{_SP}', '', 'g'))::DOUBLE < 0.25 END"
+    title = f"trim(regexp_replace({x}, '^#{{1,6}}(?:\\s+|$)', ''))"
+    n = f"length(regexp_replace({title}, '[^\\p{{L}}]', '', 'g'))"
+    return f"({x} != '' AND NOT regexp_matches({x}, '^#{{1,6}}\\s+') AND ({few})) OR (regexp_matches({x}, '^#{{1,6}}(?:\\s|$)') AND ({n} = 0 OR (regexp_matches({title}, '{_SIGNS_SQL}') AND {n} < 6)))"
+
+
+_SIGNS_SQL = cleaning.SIGNS_LINE.replace("'", "''").replace("\\s", r"\s\x0b")
+_ASSESS_SQL = rf"""WITH {_signal_sql("content_md", "documents", "doc_id")},
+f AS (SELECT *, signal / total AS sr, (len(regexp_extract_all(b, '_{{3,}}')) >= 5 AND len(regexp_extract_all(b, '(?i)\b(?:date|time|name|notes?|score|pain|headache|medication|yes|no)\b')) >= 3) OR (len(regexp_extract_all(b, '_{{3,}}')) >= 12 AND length(regexp_replace(t, '[^_]', '', 'g')) / total > 0.12) AS form,
+  len(list_filter(list_transform(string_split(b, chr(10)), lambda x: trim(x)), lambda x: {_low_sql("x")})) AS noisy, regexp_extract_all(b, '[A-Za-z]+|\d+') AS ts FROM st),
+g AS (SELECT *, visible >= 1000 AND NOT form AND (weird / total > 0.12 OR (sr < 0.55 AND (visible - signal) / total > 0.45) OR (sr < 0.6 AND cjk / total < 0.05 AND marks / total > 0.008)) AS garbled,
+  len(ts) >= 40 AND len(list_filter(ts, lambda t: regexp_matches(t, '^(?:[A-Za-z]|\d+)$'))) / greatest(len(ts), 1)::DOUBLE > 0.45 AND len(list_filter(ts, lambda t: length(t) >= 4 AND regexp_matches(t, '[aeiouAEIOU]'))) / greatest(len(ts), 1)::DOUBLE < 0.18 AS apart FROM f),
+h AS (SELECT *, list_filter([CASE WHEN visible < 300 THEN 'very_short_text' END, CASE WHEN sr < 0.45 AND NOT form THEN 'low_text_signal' END, CASE WHEN NOT form AND (noisy >= 2 OR (visible < 500 AND noisy >= 1)) THEN 'noisy_ocr_lines' END,
+  CASE WHEN NOT garbled AND NOT form AND cjk = 0 AND visible > 300 AND (sr < 0.6 OR apart) THEN 'likely_ocr_failure' END, CASE WHEN garbled THEN 'pdf_text_mojibake' END, CASE WHEN garbled THEN 'likely_ocr_failure' END,
+  CASE WHEN regexp_matches(b, '{cleaning.JOURNAL}') THEN 'journal_header_residue' END, CASE WHEN regexp_matches(b, '{cleaning.DOI}') THEN 'doi_residue' END, CASE WHEN regexp_matches(b, '{cleaning.EMAIL}') THEN 'email_residue' END,
+  CASE WHEN regexp_matches(b, '{cleaning.PAGE_LINE}') THEN 'page_marker_residue' END, CASE WHEN regexp_matches(b, '[\x{{fffd}}\x{{25a0}}\x{{25a1}}\x{{25aa}}\x{{e000}}-\x{{f8ff}}]') THEN 'bad_glyph_residue' END], lambda x: x IS NOT NULL) AS flags FROM g)
+SELECT doc_id, flags, CASE WHEN list_has_any(flags, ['low_text_signal', 'likely_ocr_failure', 'noisy_ocr_lines']) THEN 'poor' WHEN len(flags) > 0 THEN 'warning' ELSE 'ok' END AS quality, round(sr, 3) AS signal_ratio, visible FROM h"""
+
+
+@query("assess_bodies", _ASSESS_SQL)
+def _(s, d):
+    return cleaning.assess(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md").drop("content_md")
+
+
 @query("clean_bodies")
 def _(s, d):
     x = spread(table(s, d, "documents", "doc_id", "content_md")).select("doc_id", cleaning.cleaned("content_md").alias("body"))

@@ -199,8 +199,12 @@ def test_labels(spark):
 
 
 def test_cleaning(spark):
-    body = "A long word hyphen-\nated mail me@x.org doi: 10.1000/xyz\n<!-- page: 2 -->\n心房\n颤动。\nA B C D E"
-    assert "hyphenated" in cleaning.clean_body(body) and "page" not in cleaning.clean_body(body) and "心房颤动。" in cleaning.clean_body(body) and "ABCDE" in cleaning.clean_body(body) and "@" not in cleaning.clean_body(body)
+    body = "A long word hyphen-\nated mail me@x.org doi: 10.1000/xyz\n<!-- page: 2 -->\n心房震\n颤动过速。\nA B C D E\nScores were 1 2 3 4 5\n# 12\n*** --- *** ---\n# References\nref 通信作者：某人，某院"
+    assert "hyphenated" in cleaning.clean_body(body) and "page" not in cleaning.clean_body(body) and "心房震颤动过速。" in cleaning.clean_body(body) and "ABCDE" in cleaning.clean_body(body) and "@" not in cleaning.clean_body(body)
+    got = cleaning.clean_body(body)
+    assert "Scores were 1 2 3 4 5" in got and "# 12" not in got and "***" not in got and "# References\n<!-- reference_section: true -->" in got and "某院" not in got
+    paged = "<!-- page: 1 -->".join(f"HEAD\n\nbody {i} text\n\nfoot {i}\n" for i in range(4)).replace("<!--", "\n<!--").replace("-->", "-->\n")
+    assert "HEAD" not in cleaning.clean_body(paged) and "body 3 text" in cleaning.clean_body(paged)
     assert cleaning.clean_body(None) is None and cleaning.clean_body("") == ""
     a = spark.createDataFrame([("x" * 400,), ("short me@x.org",), (None,)], "b string")
     a = cleaning.assess(a, "b").collect()
