@@ -199,6 +199,24 @@ def hashing_similarity(x: Column | str, query: str, size: int = 384) -> Column:
     return F.pandas_udf(score, "double")(_c(x))
 
 
+def text_similarity(x: Column | str, vectors: list[list[float]]) -> Column:
+    """Cosines of a text's hashed vector and each of several unit vectors, in one pass, as an array."""
+    size = len(vectors[0])
+
+    def score(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            sums: dict[int, float] = {}
+            for token in _TOKEN.findall((t or "").lower()):
+                at, s = _place(token)
+                sums[at % size] = sums.get(at % size, 0.0) + s
+            n = math.sqrt(sum(v * v for v in sums.values()))
+            out.append([sum(q[b] * v for b, v in sums.items()) / n if n else 0.0 for q in vectors])
+        return pd.Series(out)
+
+    return F.pandas_udf(score, "array<double>")(_c(x))
+
+
 def hash_vector(text: str, size: int = 384) -> list[float]:
     """The same of one text, for a query on the driver."""
     out = [0.0] * size

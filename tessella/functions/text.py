@@ -172,11 +172,13 @@ def join_tokens(ts: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.array_join(ts, " "), r"\s+([,.;:!?，。；：！？%)\]])", "$1"), r"([(\[])\s+", "$1"))
 
 
-def expand_query(query: str, synonyms: dict[str, list[str]] | None = None, suffixes: tuple[str, ...] = ("guideline", "recommendation", "treatment guideline"), most: int = 6) -> list[str]:
-    """The query, its variants by synonyms and with suffixes; distinct, the first `most`."""
-    out = [query]
+def expand_query(query: str, synonyms: dict[str, list[str]] | None = None, suffixes: tuple[str, ...] = ("guideline", "recommendation", "treatment guideline"), most: int = 6, bilingual: dict[str, str] | None = None) -> list[str]:
+    """The query, its terms in the other language, its variants by synonyms and with suffixes; distinct, the first `most`."""
+    query = " ".join((query or "").split())
+    other = [v for k, v in (bilingual or {}).items() if k in query.lower()]
+    out = [query, " ".join(other), " ".join([*other, "推荐", "指南"]) if other else ""]
     for term, others in (synonyms or {}).items():
-        if re.search(re.escape(term), query, re.I):
+        if term.lower() in query.lower():
             out += [re.sub(re.escape(term), o.replace("\\", r"\\"), query, flags=re.I) for o in others]
-    out += [f"{query} {s}" for s in suffixes]
-    return list(dict.fromkeys(x for x in out if x.strip()))[:most]
+    out += [f"{query} {s}" for s in suffixes] if query else []
+    return list({x.lower(): x for x in reversed(out) if x.strip()}.values())[::-1][:most]

@@ -78,7 +78,7 @@ def dense(request: Request, df: DataFrame, text: str, id_col: str, keep: list[st
     return search.delivered_last(rows.select(id_col, *keep, F.round(hashing_similarity(text, request.query), 6).alias("score"), AT), id_col, AT)
 
 
-def search_documents(request: Request, documents: DataFrame, cards: DataFrame, views: DataFrame, *, with_dense: bool = True, vectors: dict[str, Vectors] | None = None) -> DataFrame:
+def search_documents(request: Request, documents: DataFrame, cards: DataFrame, views: DataFrame, *, with_dense: bool = True, vectors: dict[str, Vectors] | None = None, reranker: rerank.Reranker | None = None) -> DataFrame:
     """Up to 20 documents. documents: doc_id, title, clinical_department, publication_date, document_kind, once each."""
     recall, candidates = fusion.sizes(request.topk)
     held = vectors or {}
@@ -106,13 +106,14 @@ def search_documents(request: Request, documents: DataFrame, cards: DataFrame, v
     order = [F.desc("score"), F.col("doc_id")]
     x = fusion.quota(x, "scope", order, {"single": 45, "compositive": 5}, fusion.CANDIDATES) if request.department else x.orderBy(*order).limit(fusion.CANDIDATES)
     x = x.orderBy(*order).limit(candidates).withColumns({c: F.lit("") for c in ("card_text", "view_text", "chunk_text")})
-    return rerank.rule_documents(x, request.query, min(request.topk, fusion.DOCUMENT_CAP), recency=request.recency)
+    by = reranker or rerank.reranker("documents", "rule", recency=request.recency)
+    return by(x, request.query, min(request.topk, fusion.DOCUMENT_CAP))
 
 
 CHUNK_FIELDS = ["doc_id", "title", "section_path", "chunk_index", "content", "chunk_type", "is_reference_section", "token_count", "publication_date", "source_institution", "clinical_department"]
 
 
-def retrieve_chunks(request: Request, documents: DataFrame, chunks: DataFrame, sections: DataFrame, *, with_dense: bool = True, vectors: Vectors | None = None) -> DataFrame:
+def retrieve_chunks(request: Request, documents: DataFrame, chunks: DataFrame, sections: DataFrame, *, with_dense: bool = True, vectors: Vectors | None = None, reranker: rerank.Reranker | None = None) -> DataFrame:
     """Up to 30 chunks with heading and offsets of their section."""
     recall, candidates = fusion.sizes(request.topk)
     base = without_references(chunks)
@@ -133,7 +134,8 @@ def retrieve_chunks(request: Request, documents: DataFrame, chunks: DataFrame, s
         scopes = documents.join(F.broadcast(x.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", department_fields("clinical_department")["scope"].alias("scope"))
         x = x.join(scopes, "doc_id", "left").withColumn("scope", F.coalesce("scope", F.lit("single")))
         x = fusion.quota(x, "scope", order, {"single": 91, "compositive": 9}, 100)
-    out = rerank.rule_chunks(x.orderBy(*order).limit(candidates), request.query, min(request.topk, fusion.CHUNK_CAP))
+    by = reranker or rerank.reranker("chunks", "rule")
+    out = by(x.orderBy(*order).limit(candidates), request.query, min(request.topk, fusion.CHUNK_CAP))
     near = sections.select("doc_id", "section_path", "section_index", "heading", "char_start", "char_end").join(F.broadcast(out.select("doc_id").distinct()), "doc_id", "left_semi")
     return section_context(out, near)
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tessella.functions import records as R
 from tessella.functions import text as X
-from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, views
-from tessella.sources import files, ingest
+from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, structural, views
+from tessella.plans import hybrid
+from tessella.session import cut
+from tessella.sources import files, ingest, models
 from tessella.sources.tables import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -406,9 +408,9 @@ def _(s, d):
 
 
 @query("quality_multiplier", r"""SELECT doc_id, ingested_at, round(1 - least(0.55, CASE q WHEN 'poor' THEN 0.28 WHEN 'warning' THEN 0.08 ELSE 0 END + CASE p WHEN 'poor' THEN 0.24 WHEN 'warning' THEN 0.08 ELSE 0 END + CASE WHEN n IN ('1', 'true', 'yes', 'y') THEN 0.18 ELSE 0 END
-+ CASE WHEN s IN ('needed_unavailable', 'needed_not_applied', 'needed_but_disabled', 'failed') THEN 0.24 WHEN s = 'applied_needs_review' THEN 0.14 ELSE 0 END + CASE WHEN s = '' AND p = 'poor' AND sn IN ('1', 'true', 'yes', 'y') THEN 0.14 ELSE 0 END
++ CASE WHEN s IN ('needed_unavailable', 'needed_not_applied', 'needed_but_disabled', 'failed') THEN 0.24 WHEN s = 'applied_needs_review' THEN 0.14 ELSE 0 END
 + CASE WHEN list_has_any(f, ['likely_ocr_failure', 'low_text_signal', 'noisy_ocr_lines', 'pdf_text_mojibake']) THEN 0.18 ELSE 0 END + CASE WHEN list_contains(f, 'noisy_ocr_title') THEN 0.10 ELSE 0 END)::DOUBLE, 4) AS multiplier
-FROM (SELECT doc_id, ingested_at, lower(trim(coalesce(cleaning_quality, ''))) AS q, lower(trim(coalesce(pdf_text_quality, ''))) AS p, lower(trim(coalesce(pdf_needs_ocr, ''))) AS n, lower(trim(coalesce(ocr_status, ''))) AS s, lower(trim(coalesce(source_pdf_needs_ocr, ''))) AS sn,
+FROM (SELECT doc_id, ingested_at, lower(trim(coalesce(cleaning_quality, ''))) AS q, lower(trim(coalesce(pdf_text_quality, ''))) AS p, lower(trim(coalesce(pdf_needs_ocr, ''))) AS n, lower(trim(coalesce(ocr_status, ''))) AS s,
 list_transform(regexp_split_to_array(lower(coalesce(cleaning_flags, '')), '[,;]\s*'), lambda x: trim(x)) AS f FROM document_cards)""")
 def _(s, d):
     return table(s, d, "document_cards").select("doc_id", "ingested_at", rerank.quality_multiplier().alias("multiplier"))
@@ -566,6 +568,22 @@ h AS (SELECT *, list_filter([CASE WHEN visible < 300 THEN 'very_short_text' END,
 SELECT doc_id, flags, CASE WHEN list_has_any(flags, ['low_text_signal', 'likely_ocr_failure', 'noisy_ocr_lines']) THEN 'poor' WHEN len(flags) > 0 THEN 'warning' ELSE 'ok' END AS quality, round(sr, 3) AS signal_ratio, visible FROM h"""
 
 
+def _structural(s, d):
+    x = spread(table(s, d, "documents", "doc_id", "title", "content_md"))
+    return structural.structural_chunks(x, "content_md", "title", "doc_id")
+
+
+@query("structural_chunks")
+def _(s, d):
+    return _structural(s, d)
+
+
+@query("structural_search")
+def _(s, d):
+    """The chunks are made once, in the shared folder, as an index is."""
+    return structural.search(cut(_structural(s, d)), QUERY, 10).select("chunk_id", "chunk_type", "score")
+
+
 @query("assess_bodies", _ASSESS_SQL)
 def _(s, d):
     return cleaning.assess(spread(table(s, d, "documents", "doc_id", "content_md")), "content_md").drop("content_md")
@@ -669,6 +687,24 @@ def _vectors(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return x.select(id_col, R.hashing_encoder(text).alias("vector"))
 
 
+@query("missing_view_vectors", r"SELECT count(DISTINCT view_id) AS n, 384 AS dim FROM document_views WHERE view_type != 'title_abstract'")
+def _(s, d):
+    """Vectors are made of those views alone that have none of the model."""
+    x = search.delivered_last(table(s, d, "document_views", "view_id", "view_type", "ingested_at"), "view_id", "ingested_at")
+    have = x.filter("view_type = 'title_abstract'").select(F.col("view_id").alias("id"), F.lit("hashing").alias("model"))
+    texts = x.select("view_id", F.col("view_type").alias("text"))
+    made = models.vectorised(texts, have, "view_id", "text", lambda ts: [R.hash_vector(t) for t in ts], "hashing", 384)
+    return made.groupBy("dim").agg(F.count_if(F.size("embedding") == 384).alias("n")).select("n", "dim")
+
+
+@query("model_rerank")
+def _(s, d):
+    """Chunks re-ranked by a model: here a stand-in that scores by length."""
+    raw = _raw(s, d, *hybrid.CHUNK_FIELDS)
+    x = search.payload(search.bm25(raw, QUERY, _text(), "chunk_id", 50, at="ingested_at"), raw, "chunk_id", hybrid.CHUNK_FIELDS, "ingested_at")
+    return rerank.reranker("chunks", "model", lambda q, ts: [float(len(t)) for t in ts])(x, QUERY, 20).select("chunk_id", "score", "reranker")
+
+
 @query("card_vectors")
 def _(s, d):
     return _vectors(spread(table(s, d, "document_cards", "doc_id", "card_text", "ingested_at")), "doc_id", "card_text")

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, views
-from tessella.sources import files, ingest, store
+from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, structural, views
+from tessella.sources import files, ingest, models, store
 
 
 def rows(df):
@@ -103,10 +103,80 @@ def test_context(spark):
     assert got == {("d", ("A", "B")): ("B!", "section"), ("d", ("A",)): ("A", None), ("e", ()): (None, None)}
 
 
+CHUNK = "chunk_id string, title string, source_institution string, clinical_department string, publication_date string, section_path array<string>, chunk_type string, content string, is_reference_section boolean, token_count int, score double"
+
+
 def test_rerank_by_model(spark):
-    d = spark.createDataFrame([("a", "xx", 0.5), ("b", "x", 0.5)], "chunk_id string, content string, score double")
-    got = rerank.blend(rerank.model_scores(d, "q", "content", lambda q, ts: [0.9 if t == "x" else 0.1 for t in ts]), "chunk_id", 2).collect()
-    assert [r.chunk_id for r in got] == ["b", "a"]
+    d = spark.createDataFrame([(i, "t", "s", "d", "2020", ["A"], "other", x, False, 1, 0.5) for i, x in (("a", "xx"), ("b", "x"))], CHUNK)
+    by = rerank.reranker("chunks", "model", lambda q, ts: [0.9 if t.endswith("Content: x") else 0.1 for t in ts])
+    assert [(r.chunk_id, r.reranker) for r in by(d, "q", 2).collect()] == [("b", "model"), ("a", "model")]
+
+    def down(q, ts):
+        raise OSError("no service")
+
+    got = rerank.reranker("chunks", "model", down)(d, "xx", 2).collect()
+    assert [r.chunk_id for r in got] == ["a", "b"] and "failed" in got[0].reranker and got[0].model_error == "no service"
+    assert [r.chunk_id for r in rerank.reranker("chunks", "none")(d, "x", 1).collect()] == ["a"]
+    with pytest.raises(ValueError):
+        rerank.reranker("documents", "model")
+    docs = spark.createDataFrame([("a", "Guideline on x", "2020", 0.5, 4, "", "", ""), ("b", "y", "2021", 0.4, 4, "", "", "")], "doc_id string, title string, publication_date string, score double, channels int, card_text string, view_text string, chunk_text string")
+    assert [r.doc_id for r in rerank.reranker("documents", scorer=lambda q, ts: [float("Title: y" in t) for t in ts])(docs, "x", 2).collect()] == ["b", "a"]
+
+
+def test_service_answers():
+    assert models.in_order([{"index": 1, "v": 2}, {"index": 0, "v": 1}], 2, "v") == [1, 2] and models.unit([3, 4], 2) == [0.6, 0.8]
+    for bad in ([{"index": 0, "v": 1}], [{"index": 0, "v": 1}, {"index": 5, "v": 1}], None):
+        with pytest.raises(ValueError):
+            models.in_order(bad, 2, "v")
+    for bad in ([0, 0], [float("nan"), 1], [1]):
+        with pytest.raises(ValueError):
+            models.unit(bad, 2)
+
+
+def test_service_over_http(spark):
+    import http.server
+    import json
+    import threading
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            x = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            out = {"data": [{"index": i, "embedding": [float(len(t)), 1.0]} for i, t in reversed(list(enumerate(x["input"])))]} if "input" in x else {"results": [{"index": i, "relevance_score": len(t)} for i, t in enumerate(x["documents"])]}
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps(out).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    assert models.service_scorer(url, "m")("q", ["a", "bb"]) == [1.0, 2.0]
+    d = spark.createDataFrame([("a", ""), ("b", "xyz"), ("c", None)], "id string, t string")
+    have = spark.createDataFrame([("c", "m")], "id string, model string")
+    got = models.vectorised(d, have, "id", "t", models.service_encoder(url, "m", 2), "m", 2).collect()
+    assert {r.id: r.embedding for r in got} == {"a": [0.0, 1.0], "b": [3 / 10**0.5, 1 / 10**0.5]}
+    server.shutdown()
+    server.server_close()
+    with pytest.raises(OSError):
+        models.post_json(url, {}, timeout=1, attempts=2, wait=0.01)
+    empty = models.channel(lambda: spark.createDataFrame([(models.service_scorer(url, "m", timeout=1, attempts=1)("q", ["a"])[0],)]), d)
+    assert empty.isEmpty() and empty.columns == d.columns
+
+
+def test_structural_chunks(spark):
+    md = "# G\n\n## Care\nWe recommend rest. Give 5 mg daily.\n\nTrials showed benefit in adults.\n\n12\n\n# References\nWe recommend nothing here."
+    d = spark.createDataFrame([("d", md, "T"), ("e", "", "only"), ("f", None, None), ("g", "# H\n<b>", None)], "k string, md string, title string")
+    got = structural.structural_chunks(d, "md", "title", "k").orderBy("k", "chunk_type").collect()
+    assert [(r.k, r.chunk_type, r.text) for r in got] == [("d", "clinical_detail", "Give 5 mg daily."), ("d", "general", "Trials showed benefit in adults."), ("d", "recommendation_bundle", "We recommend rest.\n\nEvidence:\nTrials showed benefit in adults."), ("e", "general", "only"), ("f", "general", "f"), ("g", "general", "<b>")]
+    assert len({r.chunk_id for r in got}) == len(got)
+    long = [f"Sentence number {i} has some more words in it." for i in range(120)]
+    groups = structural.bundles("We recommend x.", [" ".join(long)])
+    assert len(groups) > 1 and [x for g in groups for x in g] == long and all(len(structural.bundle("We recommend x.", g)) <= structural.BUNDLE for g in groups)
+    assert structural.in_references(["1. References"]) and structural.in_references(["Funding"]) and not structural.in_references(["Preferences"])
+    found = structural.search(structural.structural_chunks(d, "md", "title", "k"), "rest", 2, scorer=lambda q, ts: [float("benefit" in t) for t in ts]).collect()
+    assert found[0].chunk_type == "recommendation_bundle" and structural.variants("pneumonia below 40")[1] == "低于40%"
 
 
 def test_quality_penalty_is_capped(spark):
@@ -172,7 +242,7 @@ def test_budgets_against_a_loop():
 
 def test_atomic_and_parent_chunks(spark):
     long = "word " * 1000
-    d = spark.createDataFrame([(1, "T", f"{long}\n\n# A\n1.1 We recommend x\n1.2 We suggest y\n\n# B\nplain"), (2, None, ""), (3, "only", "# H\n<!-- c -->")], "id int, title string, md string")
+    d = spark.createDataFrame([(1, "T", f"{long}\n\n# A\n1.1 We recommend x\n1.2 We suggest y\n\n# B\nplain"), (2, None, ""), (3, "only", "# H\n***")], "id int, title string, md string")
     b = markdown.parse_blocks(d, "md", "id")
     atoms = chunking.atomic_chunks(b, "id")
     got = atoms.filter("id = 1").orderBy("order_index", "part_index").collect()
