@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.batches import expand
+
 #: Patterns of section types in the order in which they are tried.
 SECTION_RULES = (
     ("recommendation", r"(?i)(recommendation|recommendations|we recommend|we suggest|should be|is recommended|推荐|建议|应该|宜|不建议)"),
@@ -71,24 +73,79 @@ def block_type(text: Column, path: Column) -> Column:
     return out.otherwise("unknown")
 
 
+#: Rules that are held by the workers; more are an error.
+MOST_RULES = 1_000_000
+
+
 def keyword_scores(df: DataFrame, id_col: str, title: Column, body: Column, rules: Sequence[tuple[str, str, float, float]]) -> DataFrame:
-    """(id, label, score). rules: (label, keyword, title bonus, body weight); a keyword counts once where it is present. The
-    rules are literals in the plan, so that the documents are scanned once and nothing is joined."""
-    low_title, low_body = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(body, F.lit("")))
-
-    def has(text: Column, k: str) -> Column:
-        k = k.lower()
-        if any("一" <= c <= "鿿" for c in k):
-            return text.contains(k)
-        escaped = "".join("\\" + c if not c.isalnum() and c != " " else c for c in k)
-        return text.rlike(rf"(?<![a-z0-9]){escaped}(?![a-z0-9])")
-
-    by: dict[str, Column] = {}
-    for label, k, bonus, weight in rules:
-        s = F.when(has(low_title, k), F.lit(float(bonus))).otherwise(0.0) + F.when(has(low_body, k), F.lit(float(weight))).otherwise(0.0)
-        by[label] = by[label] + s if label in by else s
-    each = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(label).alias("label"), s.alias("score")) for i, (label, s) in enumerate(by.items())])
-    return df.select(id_col, F.explode(F.filter(each, lambda e: e["score"] > 0)).alias("e")).select(id_col, "e.*")
+    """(id, position, label, score). rules: (label, keyword, title bonus, body weight); a keyword counts once where it is present, a Latin one
+    only between characters that aren't Latin letters or digits. One automaton of all keywords reads each text once, so that the work
+    doesn't grow with the rules; documents are scanned without a join."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"{len(rules)} rules are more than {MOST_RULES}")
+    spark = df.sparkSession
+    if not rules:
+        return df.select(id_col, F.lit(0).alias("position"), F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
+    order = list(dict.fromkeys(r[0] for r in rules))
+    held = spark.sparkContext.broadcast([(order.index(a), k.lower(), float(b), float(w)) for a, k, b, w in rules])
+
+    def find(of: dict[str, list]) -> tuple[list[int], dict[str, list]]:
+        automaton = _automaton(held)
+        rows: list[int] = []
+        out: dict[str, list] = {"position": [], "label": [], "score": []}
+        for r, (t, b) in enumerate(zip(of["title"], of["body"])):
+            sums: dict[int, float] = {}
+            for text, which in ((t, 2), (b, 3)):
+                for i in _present(automaton, (text or "").lower()):
+                    rule = held.value[i]
+                    sums[rule[0]] = sums.get(rule[0], 0.0) + rule[which]
+            for at, s in sorted(sums.items()):
+                if s > 0:
+                    rows.append(r)
+                    for n, v in (("position", at), ("label", order[at]), ("score", s)):
+                        out[n].append(v)
+        return rows, out
+
+    x = df.select(id_col, title.alias("__title"), body.alias("__body"))
+    return expand(x, {"title": "__title", "body": "__body"}, [id_col], "position int, label string, score double", find)
+
+
+_AUTOMATA: dict[int, object] = {}
+
+
+def _automaton(held):
+    """Made once in a worker for a broadcast table."""
+    if (found := _AUTOMATA.get(id(held.value))) is None:
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        by: dict[str, list[int]] = {}
+        for i, (_, k, *_) in enumerate(held.value):
+            by.setdefault(k, []).append(i)
+        for k, at in by.items():
+            if k:
+                found.add_word(k, (k, at))
+        found.make_automaton()
+        _AUTOMATA.clear()
+        _AUTOMATA[id(held.value)] = found
+    return found
+
+
+def _latin(c: str) -> bool:
+    return "a" <= c <= "z" or "0" <= c <= "9"
+
+
+def _present(automaton, text: str) -> set[int]:
+    out: set[int] = set()
+    if not len(automaton):
+        return out
+    for end, (k, at) in automaton.iter(text):
+        if out.issuperset(at):
+            continue
+        start = end - len(k) + 1
+        if any("一" <= c <= "鿿" for c in k) or not (start and _latin(text[start - 1]) or end + 1 < len(text) and _latin(text[end + 1])):
+            out.update(at)
+    return out
 
 
 def labels(scores: DataFrame, id_col: str, ratio: float = 0.35, least: float = 2.0) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import records as R
 from tessella.functions import text as X
-from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, structural, views
+from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, metadata, rerank, search, structural, views
 from tessella.plans import hybrid
 from tessella.session import cut
 from tessella.sources import files, ingest, models
@@ -439,12 +439,64 @@ def _(s, d):
     return classify.keyword_scores(x, "doc_id", F.col("title"), F.col("text"), DEPARTMENTS).select("doc_id", "label", "score")
 
 
-@query("label_multi_threshold")
+_POSITIONS = ", ".join(f"('{x}', {i})" for i, x in enumerate(dict.fromkeys(r[0] for r in DEPARTMENTS)))
+
+
+@query("label_multi_threshold", f"""WITH sc AS ({SQL["label_scores"]}), x AS (SELECT sc.*, p.i, max(score) OVER (PARTITION BY doc_id) AS top, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, p.i) AS r, max(score) OVER (PARTITION BY doc_id) >= greatest(2.0, max(score) OVER (PARTITION BY doc_id) * 0.35) AS any_kept FROM sc JOIN (VALUES {_POSITIONS}) p(label, i) USING (label))
+SELECT doc_id, list(label ORDER BY score DESC, i) AS labels FROM x WHERE score >= greatest(2.0, top * 0.35) OR (NOT any_kept AND r = 1) GROUP BY doc_id""")
 def _(s, d):
     x = spread(table(s, d, "documents", "doc_id", "title", "text"))
     return classify.labels(classify.keyword_scores(x, "doc_id", F.col("title"), F.col("text"), DEPARTMENTS), "doc_id")
 
 
+TITLE_RULES = (("respiratory", "asthma|pneumonia|哮喘|肺炎"), ("cardiology", "heart failure|hypertension|心力衰竭|高血压"), ("nephrology", "kidney|renal|肾"), ("endocrinology", "diabetes|gout|糖尿病|痛风"))
+
+
+@query("title_labels", f"""WITH x AS (SELECT doc_id, trim(translate(coalesce(title, ''), '０１２３４５６７８９', '0123456789')) AS t FROM documents), y AS (SELECT doc_id, t = '' OR regexp_matches(t, '{metadata.ARTIFACTS}') AS generic,
+list_filter([{", ".join(f"CASE WHEN regexp_matches(t, '(?i){p}') THEN '{x}' END" for x, p in TITLE_RULES)}], lambda v: v IS NOT NULL) AS hits FROM x)
+SELECT doc_id, CASE WHEN generic THEN [] ELSE hits END AS labels, CASE WHEN generic THEN 'artifact_or_generic_title' WHEN len(hits) > 0 THEN 'title_rule' ELSE 'no_precise_signal' END AS reason FROM y""")
+def _(s, d):
+    return table(s, d, "documents", "doc_id", "title").select("doc_id", metadata.title_labels(F.col("title"), TITLE_RULES).alias("l")).select("doc_id", "l.*")
+
+
+def _labels_sql(x: str) -> str:
+    each = f"list_filter(list_transform(string_split(coalesce({x}, ''), '|'), lambda v: trim(v)), lambda v: v != '')"
+    return f"list_filter({each}, lambda v, i: list_position({each}, v) = i)"
+
+
+@query("relabelled_chunks", f"""WITH {DOCS_SQL}, {CHUNKS_SQL}, x AS (SELECT chunk_id, {_labels_sql("ch.clinical_department")} AS own, {_labels_sql("docs.clinical_department")} AS parent FROM ch JOIN docs USING (doc_id))
+SELECT chunk_id, CASE WHEN own = ['未分类'] AND NOT list_contains(parent, '未分类') THEN parent[1:1] WHEN len(own) > 0 AND len(list_filter(own, lambda v: NOT list_contains(parent, v))) = 0 THEN own ELSE [coalesce(parent[1], '未分类')] END AS labels FROM x""")
+def _(s, d):
+    """Nothing is found anew here, so that labels that a document lacks give way to its first."""
+    x = _chunks(s, d, "chunk_id", "doc_id", "clinical_department").select("chunk_id", "doc_id", F.col("clinical_department").alias("own"))
+    x = x.join(_docs(s, d).select("doc_id", F.col("clinical_department").alias("parent")), "doc_id")
+    none = F.array().cast("array<string>")
+    return x.select("chunk_id", metadata.relabelled(metadata.labels_of(F.col("own")), metadata.labels_of(F.col("parent")), none).alias("labels"))
+
+
+@query("titles_found")
+def _(s, d):
+    """Titles made anew from bodies and file names, beside the stored ones."""
+    x = spread(table(s, d, "documents", "doc_id", "title", "content_md", "source_file"))
+    return x.select("doc_id", "title", metadata.find_title(F.col("content_md"), F.col("source_file")).alias("found"))
+
+
+@query("title_changes", """SELECT doc_id, 'title' AS field, title AS before, trim(regexp_replace(coalesce(title, ''), '[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{0b}]+', ' ', 'g')) AS after FROM documents WHERE after IS DISTINCT FROM title""")
+def _(s, d):
+    """A dry run: what squeezing titles would change."""
+    x = table(s, d, "documents", "doc_id", "title")
+    return metadata.changes(x, x.withColumn("title", X.squeeze("title")), "doc_id", ["title"])
+
+
+@query("sources_found", """WITH x AS (SELECT doc_id, lower(replace(coalesce(source_file, ''), chr(92), '/')) AS p, lower(concat_ws(chr(10), regexp_split_to_array(coalesce(source_file, ''), '[/\\\\]')[-1], title, regexp_split_to_array(coalesce(text, ''), '(?i)摘要|提要|\\babstract\\b|\\bsummary\\b')[1])) AS h FROM documents),
+y AS (SELECT doc_id, list_filter(list_transform(list_filter(string_split(p, '/'), lambda v: v NOT IN ('raw_pdf', 'consensus', 'pdfs', 'documents', 'pages')), lambda v: CASE v WHEN 'pdf' THEN 'scanned files' WHEN 'markdown_clean' THEN 'cleaned files' ELSE CASE WHEN ends_with(v, '_pdf') AND length(v) > 4 THEN left(v, length(v) - 4) END END), lambda v: v IS NOT NULL)[1] AS n, regexp_matches(p, '(?:^|/)consensus(?:/|$)') AS c, h FROM x)
+SELECT doc_id, CASE WHEN n IS NOT NULL THEN n WHEN c THEN 'Unknown' WHEN contains(h, 'council') THEN 'a council' WHEN contains(h, 'registry') OR contains(h, 'register') THEN 'a registry' ELSE 'Unknown' END AS source FROM y""")
+def _(s, d):
+    x = spread(table(s, d, "documents", "doc_id", "title", "text", "source_file"))
+    by = metadata.source_institution(F.col("source_file"), F.col("title"), F.col("text"), hints=HINTS, patterns=(("a council", ("council",)), ("a registry", ("registry", "register"))))
+    return x.select("doc_id", by.alias("source"))
+
+
 @query("section_types")
 def _(s, d):
     x = spread(table(s, d, "sections", "section_id", "heading", "section_path", "content"))

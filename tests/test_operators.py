@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, rerank, search, structural, views
+from tessella.operators import aggregates, chunking, classify, cleaning, filters, fusion, joins, markdown, metadata, rerank, search, structural, views
 from tessella.sources import files, ingest, models, store
 
 
@@ -283,6 +283,24 @@ def test_cleaning(spark):
     assert rows(cleaning.repeated_lines(pages, "id", "b")) == [(1, "HEAD", 4)]
 
 
+def test_titles_and_sources(spark):
+    d = spark.createDataFrame([("中华医学杂志 第 30 卷 第 5 期\n# Guideline on gout care\ntext", "x/y/gout_care.pdf"), (None, "a/Care-of-gout_2020.pdf"), ("", None), ("<!-- page: 1 -->\n** 12 **", "")], "body string, path string")
+    assert [r[0] for r in d.select(metadata.find_title(F.col("body"), F.col("path"))).collect()] == ["Guideline on gout care", "Care of gout 2020", "", "12"]
+    s = spark.createDataFrame([("C:\\data\\acme_pdf\\1.pdf", "", ""), ("consensus/1.pdf", "of the Council", ""), ("1.pdf", "of the Council", ""), ("1.pdf", "", "x abstract council"), ("hint/1.pdf", None, None), (None, None, None)], "p string, t string, x string")
+    by = metadata.source_institution(F.col("p"), F.col("t"), F.col("x"), hints={"hint": "H"}, patterns=[("C", ["council"])])
+    assert [r[0] for r in s.select(by).collect()] == ["acme", "Unknown", "C", "Unknown", "H", "Unknown"]
+    new = d.withColumn("path", F.lit("z"))
+    assert metadata.changes(d.filter("body = ''"), new, "body", ["path"]).collect()[0][1:] == ("path", None, "z")
+
+
+def test_relabel(spark):
+    d = spark.createDataFrame([(["A"], ["A", "B"]), (["未分类"], ["B"]), (["C"], ["A", "B"]), ([], ["A"]), (["C"], [])], "own array<string>, parent array<string>")
+    found = F.array(F.lit("B"), F.lit("C"))
+    assert [r[0] for r in d.select(metadata.relabelled(F.col("own"), F.col("parent"), found)).collect()] == [["A"], ["B"], ["B"], ["A"], ["未分类"]]
+    t = spark.createDataFrame([("Asthma in adults",), ("Table 3",), (None,), ("Other",)], "t string")
+    assert [r.l.reason for r in t.select(metadata.title_labels(F.col("t"), [("lung", "asthma")]).alias("l")).collect()] == ["title_rule", "artifact_or_generic_title", "artifact_or_generic_title", "no_precise_signal"]
+
+
 def test_cards_and_views(spark):
     d = spark.createDataFrame([("k", "T", None, "# T\n\nWe recommend early mobilisation for adults.\nThe target population is adults with gout.\n| a | b |")], "doc_id string, title string, abstract string, content_md string")
     v = {r.view_type: r.text for r in views.views(views.cards(d)).collect()}
