@@ -122,21 +122,27 @@ LATIN_TOKEN = r"[A-Za-z]+|\d+"
 
 
 def _kept(x: Column, chars: str) -> Column:
-    return F.length(F.regexp_replace(x, f"[^{chars}]", ""))
+    return F.length(F.regexp_replace(x, f"[^{chars}]+", ""))
 
 
 def signal_stats(x: Column | str, without_space: Column | None = None) -> Column:
     """Counts and ratios of visible, signal, CJK, weird, marker and punctuation characters as a struct. Signal is what
     the JVM takes for a letter or number of any script. without_space: the text without white space, where it is known."""
-    t = without_space if without_space is not None else F.regexp_replace(F.coalesce(_c(x), F.lit("")), SPACE, "")
-    visible = F.length(t)
-    total = F.greatest(visible, F.lit(1)).cast("double")
-    signal, cjk = _kept(t, "\\p{L}\\p{N}" + CJK), _kept(t, CJK)
-    return F.struct(
-        visible.alias("visible"), signal.alias("signal"), cjk.alias("cjk"), (signal / total).alias("signal_ratio"), (cjk / total).alias("cjk_ratio"),
-        (F.regexp_count(F.coalesce(_c(x), F.lit("")), F.lit(LATIN_TOKEN)) / total).alias("latin_token_ratio"),
-        (_kept(t, WEIRD) / total).alias("weird_ratio"), (_kept(t, MARKERS) / total).alias("mojibake_marker_ratio"), ((visible - signal) / total).alias("punctuation_ratio"),
-    )
+    plain = F.coalesce(_c(x), F.lit(""))
+    t = without_space if without_space is not None else F.regexp_replace(plain, SPACE, "")
+
+    def counts(t: Column) -> Column:
+        return F.struct(F.length(t).alias("visible"), _kept(t, "\\p{L}\\p{N}" + CJK).alias("signal"), _kept(t, CJK).alias("cjk"), _kept(t, WEIRD).alias("weird"), _kept(t, MARKERS).alias("marks"), F.regexp_count(plain, F.lit(LATIN_TOKEN)).alias("latin"))
+
+    def ratios(c: Column) -> Column:
+        total = F.greatest(c["visible"], F.lit(1)).cast("double")
+        return F.struct(
+            c["visible"].alias("visible"), c["signal"].alias("signal"), c["cjk"].alias("cjk"), (c["signal"] / total).alias("signal_ratio"), (c["cjk"] / total).alias("cjk_ratio"), (c["latin"] / total).alias("latin_token_ratio"),
+            (c["weird"] / total).alias("weird_ratio"), (c["marks"] / total).alias("mojibake_marker_ratio"), ((c["visible"] - c["signal"]) / total).alias("punctuation_ratio"),
+        )
+
+    # a transform of an array of one binds what it is given, so that each text is read once for each class of characters
+    return F.transform(F.transform(F.array(t), counts), ratios)[0]
 
 
 def sanitize(x: Column | str, limit: int) -> Column:

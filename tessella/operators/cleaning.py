@@ -47,13 +47,13 @@ def strip_inline_noise(line: Column) -> Column:
 
 def _left(x: Column, of: str) -> Column:
     """How many characters of a class a text has."""
-    return F.length(F.regexp_replace(x, f"[^{of}]", ""))
+    return F.length(F.regexp_replace(x, f"[^{of}]+", ""))
 
 
 def low_signal(line: Column) -> Column:
     """A line, not a heading, with hardly any letters: of Latin letters and signs alone, or of 12 characters or more."""
     x = F.trim(line)
-    letters, signs, seen = _left(x, r"\p{L}"), F.length(F.regexp_replace(x, r"(?U)[\p{L}\p{N}\s]", "")), F.length(F.regexp_replace(x, SPACE, ""))
+    letters, signs, seen = _left(x, r"\p{L}"), F.length(F.regexp_replace(x, r"(?U)[\p{L}\p{N}\s]+", "")), F.length(F.regexp_replace(x, SPACE, ""))
     few = F.when(x.rlike(SIGNS_LINE), (letters < 6) | (signs / F.length(x) > 0.25)).otherwise((seen >= 12) & (_left(x, r"\p{L}\p{N}") / seen < 0.25))
     return (x != "") & ~x.rlike(r"^#{1,6}\s+") & few
 
@@ -68,7 +68,7 @@ def bad_heading(line: Column) -> Column:
 
 def noisy_title(title: Column) -> Column:
     x = F.trim(F.coalesce(title, F.lit("")))
-    letters, seen, signs = _left(x, r"\p{L}"), F.length(F.regexp_replace(x, SPACE, "")), F.length(F.regexp_replace(x, r"(?U)[\p{L}\p{N}\s]", ""))
+    letters, seen, signs = _left(x, r"\p{L}"), F.length(F.regexp_replace(x, SPACE, "")), F.length(F.regexp_replace(x, r"(?U)[\p{L}\p{N}\s]+", ""))
     return (x.rlike(SIGNS_LINE) & (letters < 8)) | ((seen >= 12) & (signs / seen > 0.35) & (letters < 12))
 
 
@@ -96,14 +96,22 @@ def assess(df: DataFrame, body: str) -> DataFrame:
     one, so that it is made once for a row; what is counted in it is shared by generated code."""
     x = df.withColumn("__t", F.explode(F.array(F.regexp_replace(F.coalesce(body, F.lit("")), SPACE, ""))))
     t = F.coalesce(F.col(body), F.lit(""))
-    s = signal_stats(body, F.col("__t"))
-    f = {"blanks": F.regexp_count(t, F.lit("_{3,}")), "words": F.regexp_count(t, F.lit(FORM_WORD)), "under": F.length(F.regexp_replace("__t", "[^_]", ""))}
+    # made once for a row: in conditions the optimizer would make what is shared anew
+    x = x.withColumn("__s", F.explode(F.array(signal_stats(body, F.col("__t")))))
+    s = F.col("__s")
+    f = {"blanks": F.regexp_count(t, F.lit("_{3,}")), "words": F.regexp_count(t, F.lit(FORM_WORD)), "under": F.length(F.regexp_replace("__t", "[^_]+", ""))}
     under = f["under"] / F.greatest(F.lit(1), s["visible"]).cast("double")
+    x = x.withColumn("__form", F.explode(F.array(F.struct(F.when(t.contains("___"), f["blanks"]).otherwise(0).alias("blanks"), F.when(t.contains("___"), f["words"]).otherwise(0).alias("words"), under.alias("under")))))
+    f = F.col("__form")
+    under = f["under"]
     form = ((f["blanks"] >= 5) & (f["words"] >= 3)) | ((f["blanks"] >= 12) & (under > 0.12))
     garbled = (s["visible"] >= 1000) & ~form & ((s["weird_ratio"] > 0.12) | ((s["signal_ratio"] < 0.55) & (s["punctuation_ratio"] > 0.45)) | ((s["signal_ratio"] < 0.6) & (s["cjk_ratio"] < 0.05) & (s["mojibake_marker_ratio"] > 0.008)))
     # asked in this order, so that only bodies that can fail are taken apart
     failed = F.when(garbled, True).when(form | (s["cjk"] > 0) | (s["visible"] <= 300), False).when(s["signal_ratio"] < 0.6, True).otherwise(fragmented_latin(t))
-    noisy = F.size(F.filter(F.split(t, "\n"), lambda x: low_signal(x) | bad_heading(x)))
+    # few lines need the measures of low_signal; made once, as more than one flag asks for it
+    lines = F.filter(F.split(t, "\n"), lambda x: F.when(F.ltrim(x).startswith("#"), bad_heading(x)).when(F.length(x) >= 8, low_signal(x)).otherwise(False))
+    x = x.withColumn("__noisy", F.explode(F.array(F.size(lines))))
+    noisy = F.col("__noisy")
     flags = F.array_compact(
         F.array(
             F.when(s["visible"] < 300, "very_short_text"),
@@ -113,15 +121,15 @@ def assess(df: DataFrame, body: str) -> DataFrame:
             F.when(garbled, "pdf_text_mojibake"),
             F.when(garbled, "likely_ocr_failure"),
             F.when(t.rlike(JOURNAL), "journal_header_residue"),
-            F.when(t.rlike(DOI), "doi_residue"),
-            F.when(t.rlike(EMAIL), "email_residue"),
-            F.when(t.rlike(PAGE_LINE), "page_marker_residue"),
+            F.when(F.lower(t).contains("doi") & t.rlike(DOI), "doi_residue"),
+            F.when(t.contains("@") & t.rlike(EMAIL), "email_residue"),
+            F.when(t.contains("<!--") & t.rlike(PAGE_LINE), "page_marker_residue"),
             F.when(t.rlike(BAD_GLYPHS), "bad_glyph_residue"),
         )
     )
     x = x.withColumn("flags", flags)
     poor = F.arrays_overlap("flags", F.array(*[F.lit(v) for v in ("low_text_signal", "likely_ocr_failure", "noisy_ocr_lines")]))
-    return x.withColumns({"quality": F.when(poor, "poor").when(F.size("flags") > 0, "warning").otherwise("ok"), "signal_ratio": F.round(s["signal_ratio"], 3), "visible": s["visible"]}).drop("__t")
+    return x.withColumns({"quality": F.when(poor, "poor").when(F.size("flags") > 0, "warning").otherwise("ok"), "signal_ratio": F.round(s["signal_ratio"], 3), "visible": s["visible"]}).drop("__t", "__noisy", "__s", "__form")
 
 
 #: What goes from a line, what it becomes, and what the line must hold, in lower case, for that to be tried.
@@ -189,7 +197,9 @@ def clean_body(text: str | None) -> str | None:
     signal stay. Null stays null."""
     if text is None:
         return None
-    body = unicodedata.normalize("NFKC", text.replace("\r\n", "\n").replace("\r", "\n")).translate(str.maketrans(SCANNED_MARKS))
+    body = unicodedata.normalize("NFKC", text.replace("\r\n", "\n").replace("\r", "\n"))
+    for bad, good in SCANNED_MARKS.items():
+        body = body.replace(bad, good)
     body = _GONE.sub("", "\n".join(_SPACED.sub(_closed, x) for x in body.split("\n")))
     body = re.sub(r"(?<=[a-z,;])\n(?=[a-z(])", " ", re.sub(r"(?<=[A-Za-z])-\n(?=[A-Za-z])", "", body))
     lines = body.split("\n")

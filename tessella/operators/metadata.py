@@ -29,7 +29,7 @@ def _plain(x: Column) -> Column:
 
 
 def _count(x: Column, of: str) -> Column:
-    return F.length(F.regexp_replace(x, f"[^{of}]", "")).cast("double")
+    return F.length(F.regexp_replace(x, f"[^{of}]+", "")).cast("double")
 
 
 def clean_title(x: Column) -> Column:

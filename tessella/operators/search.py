@@ -147,14 +147,31 @@ def cover_rank(ts: Column, weights: Column, any_of: Sequence[Sequence[str]]) ->
     return F.transform(F.array(places), of)[0]  # bound once by the transform, not made anew for each use
 
 
+def may_match(texts: Sequence[Column | str], query: str) -> Column:
+    """What any matching row satisfies: each wanted word of an alternative is somewhere in its text. Cheap, so that other rows are never
+    cut into tokens."""
+    low = F.lower(F.concat_ws(" ", *texts))
+    out = F.lit(False)
+    for all_of in parse_query(query):
+        one = F.lit(True)
+        for w in {w for ws, absent in all_of if not absent for w in ws}:
+            one = one & low.contains(w)
+        out = out | one
+    return out
+
+
 def full_text(df: DataFrame, query: str, fields: Sequence[tuple[Column | str, str]], id_col: str, keep: Sequence[str] = (), at: str | None = None) -> DataFrame:
     """(id, keep..., score) of all rows that match the query, ranked over the fields one after another, weighted by their class."""
     words = [sorted({w for ws, absent in a if not absent for w in ws}) for a in parse_query(query)]
     words = [w for w in words if w]
     if not words:
         return df.limit(0).select(id_col, *keep, F.lit(0.0).alias("score"))
-    rows = df.withColumn("__ts", F.explode(F.array(F.concat(*[tokens(c) for c, _ in fields])))).filter(matches(F.col("__ts"), query))
-    weights = F.concat(*[F.array_repeat(F.lit(WEIGHTS[c]), F.size(tokens(f))) for f, c in fields])
+    names = [f"__f{i}" for i in range(len(fields))]
+    some = df.filter(may_match([c for c, _ in fields], query))
+    # exploded from an array of one: made once, not anew for each use
+    some = some.withColumn("__each", F.explode(F.array(F.struct(*[tokens(c).alias(n) for n, (c, _) in zip(names, fields)]))))
+    rows = some.withColumn("__ts", F.explode(F.array(F.concat(*[F.col(f"__each.{n}") for n in names])))).filter(matches(F.col("__ts"), query))
+    weights = F.concat(*[F.array_repeat(F.lit(WEIGHTS[c]), F.size(f"__each.{n}")) for n, (_, c) in zip(names, fields)])
     out = rows.select(id_col, *keep, F.round(cover_rank(F.col("__ts"), weights, words), 6).alias("score"), *([at] if at else []))
     return delivered_last(out, id_col, at)
 
