@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.text import clip, dedupe_lines, squeeze
+from tessella.operators.metadata import UNKNOWN, labels_of
 
 #: Views and their priorities, limits of texts.
 PRIORITIES = {"title_abstract": 1.0, "scope_population": 1.15, "recommendation_summary": 1.35, "pico_questions": 1.2, "heading_tree": 0.8, "table_titles": 1.05, "conclusion": 0.85}
-CARD_CHARS, VIEW_CHARS, SCAN_LINES = 12_000, 6_000, 3_000
+CARD_CHARS, VIEW_CHARS = 12_000, 6_000
 KEPT = {"recommendation": 18, "pico": 14, "evidence": 12, "scope_population": 10, "table": 18}
 #: Signals of lines.
 SIGNALS = {
@@ -21,9 +22,10 @@ SIGNALS = {
 }
 
 
-def candidate_lines(body: Column) -> Column:
-    """Useful lines: squeezed, of 12 characters or more, not headings or comments."""
-    lines = F.transform(F.slice(F.split(F.coalesce(body, F.lit("")), r"\r?\n"), 1, SCAN_LINES), squeeze)
+def candidate_lines(body: Column, most: int | None = None) -> Column:
+    """Useful lines: squeezed, of 12 characters or more, not headings or comments. most: of so many first lines of a body; of all by default."""
+    all_ = F.split(F.coalesce(body, F.lit("")), r"\r?\n")
+    lines = F.transform(F.slice(all_, 1, most) if most else all_, squeeze)
     return F.filter(lines, lambda x: (F.length(x) >= 12) & ~x.startswith("#") & ~x.startswith("<!--"))
 
 
@@ -56,15 +58,20 @@ def views(cards_: DataFrame, doc: str = "doc_id") -> DataFrame:
         "pico_questions": F.col("f_pico"), "heading_tree": F.col("f_heading_tree"), "table_titles": F.col("f_table"), "conclusion": F.col("f_evidence"),
     }
     each = F.array(*[F.struct(F.lit(k).alias("view_type"), F.lit(PRIORITIES[k]).alias("priority"), clip(v, VIEW_CHARS).alias("text")) for k, v in texts.items()])
-    x = cards_.select(doc, F.explode(each).alias("v")).select(doc, "v.*").filter("text != ''")
+    kept = [c for c in VIEW_FIELDS[4:] + ("clinical_department",) if c in cards_.columns and c not in ("text", doc)]
+    x = cards_.select(doc, *kept, F.explode(each).alias("v")).select(doc, *kept, "v.*").filter("text != ''")
     return x.withColumn("view_id", F.concat_ws("__", F.col(doc), "view_type"))
 
 
-CARD_FIELDS = ("doc_id", "title", "publication_date", "source_institution", "clinical_department", "markdown_clean_path", "card_text")
-VIEW_FIELDS = ("view_id", "doc_id", "view_type", "priority", "title", "publication_date", "source_institution", "clinical_department", "markdown_clean_path", "text")
-CHUNK_FIELDS = ("chunk_id", "doc_id", "title", "publication_date", "source_institution", "clinical_department", "document_kind", "section_path", "chunk_index", "content", "chunk_type", "token_count", "retrieval_key", "is_background", "is_reference_section")
+#: The fields of artifacts in their order.
+CARD_FIELDS = ("doc_id", "title", "publication_date", "source_institution", "clinical_departments", "document_kind", "card_text")
+VIEW_FIELDS = ("view_id", "doc_id", "view_type", "priority", "title", "text", "publication_date", "source_institution", "clinical_departments", "document_kind")
+CHUNK_FIELDS = ("chunk_id", "doc_id", "title", "publication_date", "source_institution", "clinical_departments", "document_kind", "section_path", "chunk_index", "content", "retrieval_text", "chunk_type", "token_count", "retrieval_key", "is_background", "is_reference_section")
 
 
 def contract(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """The fixed fields of an artifact, missing ones as null."""
-    return df.select(*[F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields])
+    """The fixed fields of an artifact, missing ones as null; the list of departments comes from the joined ones, and is never empty."""
+    none = F.array().cast("array<string>")
+    own = F.col("clinical_departments") if "clinical_departments" in df.columns else labels_of(F.col("clinical_department")) if "clinical_department" in df.columns else none
+    departments = F.when(F.size(F.coalesce(own, none)) > 0, own).otherwise(F.array(F.lit(UNKNOWN)))
+    return df.select(*[departments.alias(f) if f == "clinical_departments" else F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields])

@@ -656,7 +656,7 @@ def _(s, d):
 @query("document_views_built")
 def _(s, d):
     x = spread(table(s, d, "documents")).drop("doc_id").withColumnRenamed("doc_key", "doc_id")
-    return views.views(views.cards(x))
+    return views.contract(views.views(views.cards(x)), views.VIEW_FIELDS)
 
 
 @query("front_matter_round_trip")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The header's keys in their order.
-HEADER = ("id", "title", "abstract", "publication_date", "publication_year", "source_institution", "clinical_department", "document_kind", "source_file", "markdown_raw_path", "markdown_clean_path", "cleaning_quality", "cleaning_flags", "pdf_text_quality", "pdf_needs_ocr", "pdf_is_scanned", "ocr_engine", "ocr_applied", "ocr_status")
+HEADER = ("id", "title", "publication_date", "source_institution", "source_file", "clinical_department", "clinical_departments", "department_scope", "document_kind", "source_pdf_text_quality", "source_pdf_needs_ocr", "source_pdf_is_scanned", "pdf_page_count", "pdf_text_chars", "pdf_text_chars_per_page", "pdf_low_text_page_ratio", "pdf_image_page_ratio", "pdf_scanned_page_ratio", "pdf_is_scanned", "pdf_needs_ocr", "pdf_text_quality", "ocr_engine", "ocr_applied", "ocr_status", "ocr_error", "cleaning_quality", "cleaning_flags")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
