@@ -110,6 +110,21 @@ def add_flag(x: Column | str, flag: str) -> Column:
     return F.array_join(F.array_union(flags(x), F.array(F.lit(flag))), ",")
 
 
+def field_text(columns: list[str], name: str) -> Column:
+    """A record's text: the field of that name where there is one that isn't empty, else its content."""
+    return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in (name, "content") if c in columns], F.lit(""))
+
+
+#: Signs that count as readable beside letters and numbers.
+READABLE = r"，。；：、“”‘’（）《》.,;:!?()/%\-"
+
+
+def readable_ratio(x: Column | str) -> Column:
+    """Share of letters, numbers and usual signs in what isn't white space; 0 for an empty text."""
+    t = F.regexp_replace(F.coalesce(_c(x), F.lit("")), SPACE, "")
+    return F.when(F.length(t) == 0, 0.0).otherwise(_kept(t, r"\p{L}\p{N}" + READABLE) / F.length(t))
+
+
 def weak(x: Column | str, least: int) -> Column:
     return F.length(squeeze(x)) < least
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import SPACE, squeeze
@@ -123,3 +123,15 @@ def changes(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) ->
     x = old.select(key, *[F.col(c).cast("string").alias(f"__o{i}") for i, c in enumerate(columns)]).join(new.select(key, *[F.col(c).cast("string").alias(f"__n{i}") for i, c in enumerate(columns)]), key)
     each = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"__o{i}").alias("before"), F.col(f"__n{i}").alias("after")) for i, c in enumerate(columns)])
     return x.select(key, F.explode(F.filter(each, lambda e: ~e["before"].eqNullSafe(e["after"]))).alias("e")).select(key, "e.*")
+
+
+def change_report(found: DataFrame, key: str, examples: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Of changes: (field, n), and for each field its first examples by key, which each task limits before anything is shuffled."""
+    w = Window.partitionBy("field").orderBy(key)
+    return found.groupBy("field").agg(F.count("*").alias("n")), found.withColumn("example", F.row_number().over(w)).filter(F.col("example") <= examples)
+
+
+def mean_confidence(lines: Column) -> Column:
+    """The mean of a page's lines' confidences, null ones left out; null if there are none."""
+    held = F.filter(lines, lambda x: x.isNotNull())
+    return F.when(F.size(held) > 0, F.aggregate(held, F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(held))

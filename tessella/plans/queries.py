@@ -488,6 +488,21 @@ def _(s, d):
     return metadata.changes(x, x.withColumn("title", X.squeeze("title")), "doc_id", ["title"])
 
 
+@query("change_counts", f"SELECT 'title' AS field, count(*) AS n FROM ({SQL['title_changes']}) HAVING count(*) > 0")
+def _(s, d):
+    return metadata.change_report(QUERIES["title_changes"](s, d), "doc_id")[0]
+
+
+@query("change_examples", f"SELECT *, row_number() OVER (ORDER BY doc_id)::INT AS example FROM ({SQL['title_changes']}) QUALIFY example <= 8")
+def _(s, d):
+    return metadata.change_report(QUERIES["title_changes"](s, d), "doc_id")[1]
+
+
+@query("readable_ratios", rf"SELECT doc_id, CASE WHEN length(t) = 0 THEN 0 ELSE round(length(regexp_replace(t, '[^\p{{L}}\p{{N}}，。；：、“”‘’（）《》.,;:!?()/%\-]', '', 'g')) / length(t)::DOUBLE, 6) END AS ratio FROM (SELECT doc_id, regexp_replace(coalesce(abstract, ''), '{_SP}+', '', 'g') AS t FROM documents)")
+def _(s, d):
+    return table(s, d, "documents", "doc_id", "abstract").select("doc_id", F.round(X.readable_ratio("abstract"), 6).alias("ratio"))
+
+
 @query("sources_found", """WITH x AS (SELECT doc_id, lower(replace(coalesce(source_file, ''), chr(92), '/')) AS p, lower(concat_ws(chr(10), regexp_split_to_array(coalesce(source_file, ''), '[/\\\\]')[-1], title, regexp_split_to_array(coalesce(text, ''), '(?i)摘要|提要|\\babstract\\b|\\bsummary\\b')[1])) AS h FROM documents),
 y AS (SELECT doc_id, list_filter(list_transform(list_filter(string_split(p, '/'), lambda v: v NOT IN ('raw_pdf', 'consensus', 'pdfs', 'documents', 'pages')), lambda v: CASE v WHEN 'pdf' THEN 'scanned files' WHEN 'markdown_clean' THEN 'cleaned files' ELSE CASE WHEN ends_with(v, '_pdf') AND length(v) > 4 THEN left(v, length(v) - 4) END END), lambda v: v IS NOT NULL)[1] AS n, regexp_matches(p, '(?:^|/)consensus(?:/|$)') AS c, h FROM x)
 SELECT doc_id, CASE WHEN n IS NOT NULL THEN n WHEN c THEN 'Unknown' WHEN contains(h, 'council') THEN 'a council' WHEN contains(h, 'registry') OR contains(h, 'register') THEN 'a registry' ELSE 'Unknown' END AS source FROM y""")

@@ -84,3 +84,23 @@ def test_hashing(spark):
 def test_vectors(spark):
     r = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0])], "a array<double>, b array<double>").select(R.normalized(F.col("a")).alias("n"), R.cosine(F.col("a"), F.col("b")).alias("c"), R.vector_literal(F.col("a")).alias("l")).first()
     assert r.n == pytest.approx([0.6, 0.8]) and r.c == 0.0 and r.l == "[3.00000000,4.00000000]"
+
+
+def test_settings(monkeypatch):
+    from tessella.settings import setting
+
+    monkeypatch.setenv("T_A", " Yes ")
+    monkeypatch.setenv("T_B", "no number")
+    monkeypatch.setenv("T_C", "-2")
+    assert setting("T_A", False) is True and setting("T_B", 3) == 3 and setting(("T_B", "T_C"), 3) == -2 and setting("T_C", 1.5, allowed=lambda v: v > 0) == 1.5 and setting("T_NONE", "x") == "x"
+
+
+def test_small_measures(spark):
+    from pyspark.sql import functions as F
+
+    from tessella.functions.text import field_text, readable_ratio
+    from tessella.operators.metadata import mean_confidence
+
+    d = spark.createDataFrame([("a1 ，■", "", "c", [0.5, None, 1.0]), (None, "t", "c", []), ("", None, None, None)], "x string, text string, content string, p array<double>")
+    got = d.select(F.round(readable_ratio("x"), 4), field_text(d.columns, "text"), mean_confidence(F.col("p"))).collect()
+    assert [tuple(r) for r in got] == [(0.75, "c", 0.75), (0.0, "t", None), (0.0, "", None)]
