@@ -1,6 +1,6 @@
 """Labelled phrases of filler and of notices, from which the models of residue are fitted. They are made by rule: from the status codes
 and error texts of the standard library, the public filler passage, and products of short word lists in four languages. No
-phrase is taken from the data. <n> is a number. Their number is fixed, so that the labelled sample is bounded."""
+phrase is copied from the data; README names what was added after a look at differences there. <n> is a number. Their number is fixed, so that the labelled sample is bounded."""
 
 from __future__ import annotations
 
